@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +18,13 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import all_sql
+from tablewarden.functions.cards import card_number, card_token
+from tablewarden.operators import audit, constraints, normalise, pairs, policy
 from tablewarden.plans import bars as B
+from tablewarden.plans import hotel, logs
+from tablewarden.schemas import GRANTS, POLICIES, RESERVATIONS, Grant, Policy
 from tablewarden.session import scratch_dir
-from tablewarden.sources import layout
+from tablewarden.sources import bars_csv, bookings, layout
 from tablewarden.sources import testtables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,13 +102,173 @@ def _bar_queries() -> dict[str, Query]:
     }
 
 
+# A role that is neither blocked nor logged, so that every decision occurs.
+MANAGER_POLICIES = (*POLICIES, Policy("manager_full_access", RESERVATIONS, "manager", "true"))
+MANAGER_GRANTS = (*GRANTS, Grant("manager", RESERVATIONS, "UPDATE"))
+TEST_PEPPER = "test-pepper"
+
+
+def _test_card(key: str):
+    """Draw and salt that follow from the key, so that tokens repeat."""
+    return F.col(key) * 7919000003, F.md5(F.col(key).cast("string"))
+
+
+def _with_tokens(guests: DataFrame, key: str) -> DataFrame:
+    draw, salt = _test_card(key)
+    return guests.withColumn("kredi_karti", card_token(card_number(draw), TEST_PEPPER, salt))
+
+
+def _on_reservations(plan: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    return lambda spark, sf_dir: plain(plan(src.reservations(spark, sf_dir), *args, **kwargs))
+
+
+def _lookup(country: str) -> Query:
+    return lambda s, d: plain(hotel.lookup_by_country(src.reservations(s, d), src.guests(s, d), country))
+
+
+def _decisions(s: SparkSession, d: str, require_grant: bool) -> DataFrame:
+    guard = audit.PriceGuard(MANAGER_POLICIES, MANAGER_GRANTS, require_grant)
+    return guard.decide(src.changes(s, d), src.reservations(s, d).select("rezervasyon_id", "hotel", "adr"))
+
+
+def _price_after(s: SparkSession, d: str) -> DataFrame:
+    guard = audit.PriceGuard(MANAGER_POLICIES, MANAGER_GRANTS)
+    return guard.prices_after(src.changes(s, d), src.reservations(s, d).select("rezervasyon_id", "hotel", "adr"))
+
+
+def _grant_matrix(s: SparkSession, d: str) -> DataFrame:
+    groups = src.table(s, d, "customer").select(
+        F.concat(F.lit("user_"), F.col("c_custkey")).alias("rol"), F.col("c_mktsegment").alias("grup")
+    )
+    rights = src.used_rights(s, d)
+    return policy.grant_matrix(rights, ["stock_prices", "query_audit_log"], groups, exclude=["user_1", "user_2"])
+
+
+def _grant_check(s: SparkSession, d: str) -> DataFrame:
+    """Rights used in all events that are not among those of two thirds of them."""
+    granted = src.used_rights(s, d, F.col("event_id") % 3 != 0).distinct()
+    return policy.missing_rights(src.used_rights(s, d), granted)
+
+
+def _hotel_queries() -> dict[str, Query]:
+    rows_for = lambda role: _on_reservations(policy.visible, role)
+    roles = ["admin", "city_reception", "resort_reception", "visitor"]
+    return {
+        "rows_for_city_reception": rows_for("city_reception"),
+        "rows_for_resort_reception": rows_for("resort_reception"),
+        "rows_for_admin": rows_for("admin"),
+        "rows_for_unknown_role": rows_for("visitor"),
+        "guests_for_city_reception": lambda s, d: policy.visible_guests(
+            src.guests(s, d), src.reservations(s, d), "city_reception"
+        ),
+        "isolation_report": _on_reservations(policy.isolation_report, roles, MANAGER_POLICIES),
+        "policy_list": lambda s, d: policy.policy_list(policy.tenant_policies(src.reservations(s, d))),
+        "grant_matrix": _grant_matrix,
+        "grant_check": _grant_check,
+        "price_audit": lambda s, d: plain(audit.audit_log(_decisions(s, d, False))),
+        "price_audit_granted": lambda s, d: plain(audit.audit_log(_decisions(s, d, True))),
+        "price_decisions": lambda s, d: plain(_decisions(s, d, False)),
+        "price_decisions_granted": lambda s, d: plain(_decisions(s, d, True)),
+        "price_after": lambda s, d: plain(_price_after(s, d)),
+        "audit_report": lambda s, d: plain(audit.audit_report(audit.audit_log(_decisions(s, d, False)))),
+        "tenant_overview": _on_reservations(hotel.tenant_overview),
+        "tenant_counts": _on_reservations(hotel.tenant_counts),
+        "tenant_counts_for_city_reception": _on_reservations(
+            lambda r: hotel.tenant_counts(policy.guarded_read(r, "city_reception"))
+        ),
+        "lookup_by_country": _lookup("NATION_7"),
+        "lookup_attack": _lookup("' OR '1'='1' --"),
+        "origin_overview": lambda s, d: hotel.origin_overview(
+            src.reservations(s, d), src.guests(s, d), src.table(s, d, "nation"), src.table(s, d, "region")
+        ),
+        "card_tokens": lambda s, d: _with_tokens(src.guests(s, d), "musteri_id").select("musteri_id", "kredi_karti"),
+        "masked_cards": lambda s, d: hotel.masked_cards(_with_tokens(src.guests(s, d), "musteri_id")),
+    }
+
+
+def _typed(s: SparkSession, d: str) -> DataFrame:
+    return bookings.typed(bookings.strings_from_lines(src.booking_lines(s, d)))
+
+
+def _good(s: SparkSession, d: str) -> DataFrame:
+    return _typed(s, d).where(F.col("reason").isNull()).drop("reason")
+
+
+def _rejected(s: SparkSession, d: str) -> DataFrame:
+    return _typed(s, d).where(F.col("reason").isNotNull())
+
+
+def _normalise_guests(s: SparkSession, d: str) -> DataFrame:
+    return plain(normalise.guests(_good(s, d), TEST_PEPPER, *_test_card("id")))
+
+
+def _on_unchecked(check: Callable[..., DataFrame], *args) -> Query:
+    return lambda s, d: plain(check(src.unchecked_bars(s, d), *args))
+
+
+def _check_fk(s: SparkSession, d: str) -> DataFrame:
+    parts = src.table(s, d, "part").where(F.col("p_size") > 5)
+    return constraints.foreign_key(src.unchecked_bars(s, d), "part_id", parts, "p_partkey")
+
+
+def _row_faults(df: DataFrame) -> DataFrame:
+    rules = {
+        "open_price is null": F.col("open_price").isNull(),
+        "symbol too long": F.length("symbol") > 10,
+        "no partition": constraints.outside_years(F.col("trade_date"), 1996, 2000),
+    }
+    marked = constraints.with_faults(df, rules)
+    return marked.groupBy(F.array_join("faults", ",").alias("faults")).agg(F.count("*").alias("satir_sayisi"))
+
+
+def _ingest_queries() -> dict[str, Query]:
+    return {
+        "ingest_bookings": lambda s, d: plain(_good(s, d)),
+        "ingest_rejects": lambda s, d: bookings.reject_counts(_rejected(s, d)),
+        "first_rejects": lambda s, d: bookings.first_rejects(_rejected(s, d)),
+        "null_sentinels": lambda s, d: plain(_good(s, d).select("id", "children", "agent", "company", "country", "meal")),
+        "ingest_bars": lambda s, d: plain(bars_csv.bars_from_lines(src.bar_lines(s, d))),
+        "normalise_guests": _normalise_guests,
+        "normalise_reservations": lambda s, d: plain(normalise.reservations(_good(s, d))),
+        "check_not_null": _on_unchecked(constraints.not_null, ["open_price", "close_price", "symbol"]),
+        "check_unique": _on_unchecked(constraints.unique, ["id"]),
+        "check_unique_composite": _on_unchecked(constraints.unique, ["id", "trade_date"]),
+        "check_fk": _check_fk,
+        "check_length": _on_unchecked(constraints.lengths, {"symbol": 10}),
+        "check_numeric": _on_unchecked(constraints.numerics, "amount", 10, 2),
+        "check_partition_range": _on_unchecked(constraints.partition_range, "trade_date", 1996, 2000),
+        "row_faults": _on_unchecked(_row_faults),
+    }
+
+
+def _on_log(plan: Callable[..., DataFrame], *args) -> Query:
+    return lambda s, d: plain(plan(src.query_log(s, d), *args))
+
+
+def _usage_bands(s: SparkSession, d: str) -> DataFrame:
+    uses = src.table(s, d, "events").select(F.col("user_id").alias("c_custkey"))
+    return logs.usage_bands(src.table(s, d, "customer"), "c_custkey", uses)
+
+
+def _log_queries() -> dict[str, Query]:
+    return {
+        "slow_statements": _on_log(logs.slow_statements, "%WHERE%7%"),
+        "rows_per_call": _on_log(logs.rows_per_call),
+        "latest_log": _on_log(logs.latest_log),
+        "statement_ages": _on_log(logs.statement_ages, datetime(2024, 2, 1), "signup", "%VIEW%"),
+        "usage_bands": _usage_bands,
+        "pairs_in_group": lambda s, d: pairs.pairs_in_group(src.table(s, d, "supplier"), "s_nationkey", "s_suppkey"),
+        "later_partners": lambda s, d: pairs.later_partners(src.table(s, d, "customer"), "c_nationkey", "c_custkey"),
+    }
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Mean yearly return per symbol on the smallest tables."""
     return queries()["avg_yearly_return"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return {**_bar_queries()}
+    return {**_bar_queries(), **_hotel_queries(), **_ingest_queries(), **_log_queries()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.operators.derived import with_bar_columns
@@ -44,15 +44,18 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_bar_columns(out)
 
 
-def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hotel = (
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "City Hotel")
-        .when(F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"), "Resort Hotel")
+def _hotel():
+    """Hotel by priority; one priority has none."""
+    return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "City Hotel").when(
+        F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"), "Resort Hotel"
     )
+
+
+def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("rezervasyon_id"),
         F.col("o_custkey").alias("musteri_id"),
-        hotel.alias("hotel"),
+        _hotel().alias("hotel"),
         (F.col("o_orderstatus") == "F").cast("int").alias("is_canceled"),
         F.col("o_totalprice").cast("decimal(10,2)").alias("adr"),
         F.col("o_orderstatus").alias("reservation_status"),
@@ -100,8 +103,11 @@ def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def used_rights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rights as exercised in the event log: role, table and privilege."""
+def used_rights(spark: SparkSession, sf_dir: str, among: Column | None = None) -> DataFrame:
+    """Rights as exercised in the event log: role, table and privilege.
+
+    ``among`` picks the events that count as granting a right.
+    """
     privilege = (
         F.when(F.col("event_type") == "view", "SELECT")
         .when(F.col("event_type") == "signup", "INSERT")
@@ -114,7 +120,10 @@ def used_rights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("value") < 60, "query_audit_log")
         .otherwise("rezervasyonlar")
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    if among is not None:
+        events = events.where(among)
+    return events.select(
         F.concat(F.lit("user_"), F.col("user_id")).alias("grantee"),
         table_name.alias("table_name"),
         privilege.alias("privilege_type"),
@@ -137,3 +146,59 @@ def unchecked_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("amount"),
         F.repeat(F.col("l_returnflag"), F.col("l_linenumber") * 2).alias("symbol"),
     )
+
+
+def booking_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines of the bookings file, with faults that follow from the key."""
+    k = F.col("o_orderkey")
+    every = lambda n, text, other: F.when(k % n == 0, text).otherwise(other)
+    price = F.col("o_totalprice").cast("decimal(10,2)").cast("string")
+    text = {
+        "hotel": every(29, "H" * 51, F.coalesce(F.col("hotel"), F.lit("Garden Hotel"))),
+        "is_canceled": F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
+        "lead_time": k % 400,
+        "arrival_date_year": F.year("o_orderdate"),
+        "arrival_date_month": F.date_format("o_orderdate", "MMMM"),
+        "arrival_date_week_number": F.weekofyear("o_orderdate"),
+        "arrival_date_day_of_month": F.dayofmonth("o_orderdate"),
+        "stays_in_weekend_nights": k % 3,
+        "stays_in_week_nights": k % 5,
+        "adults": k % 2 + 1,
+        "children": every(7, "NA", every(11, "", (k % 4).cast("string"))),
+        "babies": k % 2,
+        "meal": every(5, "NULL", F.lit("BB")),
+        "country": every(6, "NULL", every(10, "", F.col("n_name"))),
+        "market_segment": F.col("c_mktsegment"),
+        "distribution_channel": F.lit("Direct"),
+        "is_repeated_guest": F.when(F.col("c_acctbal") > 0, 1).otherwise(0),
+        "previous_cancellations": k % 2,
+        "previous_bookings_not_canceled": k % 3,
+        "reserved_room_type": F.chr(k % 8 + 65),
+        "assigned_room_type": F.chr(k % 9 + 65),
+        "booking_changes": every(13, F.concat(F.lit("x"), k), (k % 4).cast("string")),
+        "deposit_type": F.lit("No Deposit"),
+        "agent": every(7, "NULL", F.col("o_custkey").cast("string")),
+        "company": every(11, "", every(3, "NA", F.col("o_custkey").cast("string"))),
+        "days_in_waiting_list": k % 20,
+        "customer_type": every(4, "Group", F.lit("Transient")),
+        "adr": every(17, "abc", every(19, F.concat(price, F.lit("5")), price)),
+        "required_car_parking_spaces": k % 2,
+        "total_of_special_requests": k % 6,
+        "reservation_status": F.when(F.col("o_orderstatus") == "F", "Canceled").otherwise("Check-Out"),
+        "reservation_status_date": every(23, "2017-02-30", F.date_format("o_orderdate", "yyyy-MM-dd")),
+    }
+    fields = [c.cast("string") for c in text.values()]
+    line = F.when(k % 31 == 0, F.concat_ws(",", *fields[:-2])).otherwise(F.concat_ws(",", *fields))
+    orders = table(spark, sf_dir, "orders").withColumn("hotel", _hotel())
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    return (
+        orders.join(customers, orders.o_custkey == customers.c_custkey)
+        .join(nations, customers.c_nationkey == nations.n_nationkey)
+        .select(k.alias("id"), line.alias("line"))
+    )
+
+
+def bar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as CSV lines of the bars file."""
+    names = ["trade_date", "open_price", "high_price", "low_price", "close_price", "volume", "symbol"]
+    return bars(spark, sf_dir).select(F.concat_ws(",", *[F.col(n).cast("string") for n in names]).alias("line"))

@@ -55,7 +55,7 @@ def main(argv: list[str]) -> int:
     from tablewarden.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), e.oracle_sql(), 0
     for key, run in e.queries().items():
