@@ -117,7 +117,9 @@ def load(spark: SparkSession, path: str | list[str], out: str, mode: str = "over
     """
     rows = with_surrogate_id(typed(read_strings(spark, path)))
     status = F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED)
-    rows.withColumn("status", status).write.mode(mode).partitionBy("status").parquet(out)
+    writer = rows.withColumn("status", status).write.mode(mode).partitionBy("status")
+    # an overwrite replaces both folders, also when one gets no rows
+    writer.option("partitionOverwriteMode", "static").parquet(out)
 
 
 def good(loaded: DataFrame) -> DataFrame:

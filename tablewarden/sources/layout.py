@@ -15,6 +15,8 @@ YEAR = "trade_year"
 def write_by_year(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write bars under one folder per year, clustered by symbol and day.
 
+    Overwriting replaces the years that are in the input and keeps the others.
+
     The range shuffle cuts a crowded year or symbol into several tasks, each of
     which writes a narrow range, so file statistics prune by symbol. AQE picks
     the number of ranges.
@@ -24,7 +26,7 @@ def write_by_year(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
         .repartitionByRange(YEAR, "symbol", "trade_date")
         .sortWithinPartitions(YEAR, "symbol", "trade_date")
     )
-    clustered.write.mode(mode).partitionBy(YEAR).parquet(path)
+    clustered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 
 def read_by_year(spark: SparkSession, path: str) -> DataFrame:

@@ -1,98 +1,99 @@
 """Price guard on a stream of changes.
 
 State is a base table plus one small folder of price deltas per micro-batch, so
-a batch writes only the prices it changed, never the whole table. A folder
-counts once its ``_SUCCESS`` file is there. A batch reads deltas of earlier
-batches only and overwrites its own folders, so running a batch again, after a
-lost executor or a restart, gives the same files.
+a batch writes only the prices it changed, never the whole table. A batch reads
+deltas of earlier batches only and overwrites its own folders, so running it
+again, after a lost executor or a restart, gives the same files.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablewarden.operators.audit import KEY, PriceGuard, audit_log
 from tablewarden.schemas import AUDIT_LOG
 
-_DELTA = f"{KEY} long, adr decimal(10,2)"
 CHANGE_SCHEMA = f"seq long, islem_zamani timestamp, role string, {KEY} long, new_adr decimal(10,2)"
+_DELTA = f"{KEY} long, adr decimal(10,2)"
+# Above this many distinct keys a micro-batch is joined by shuffle.
+BROADCAST_KEYS = 500_000
 
 
 class PriceStore:
-    """Prices and audit rows under one folder of a Hadoop file system."""
+    """Prices and audit rows under one folder.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    ``base/batch=n``    full table with the changes of batches up to n
+    ``bases/batch=n``   one row per finished base
+    ``deltas/base=n/batch=m``  prices changed by batch m, since base n
+    ``audit/batch=m``   audit rows of batch m
+    """
 
-    def _folders(self, kind: str) -> dict[int, str]:
-        """Finished folders of a kind by batch number; a listing of names only."""
-        jvm = self.spark.sparkContext._jvm
-        parent = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
-        fs = parent.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(parent):
-            return {}
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(parent, "batch=*/_SUCCESS"))
-        paths = [status.getPath().getParent() for status in done]
-        return {int(p.getName().split("=")[1]): p.toString() for p in paths}
+    def __init__(self, spark: SparkSession, root: str, broadcast_keys: int = BROADCAST_KEYS):
+        self.spark, self.root, self.broadcast_keys = spark, root.rstrip("/"), broadcast_keys
 
-    def _path(self, kind: str, batch: int) -> str:
-        return f"{self.root}/{kind}/batch={batch}"
+    def _write_base(self, base: DataFrame, number: int) -> None:
+        # in key order, so that file statistics prune
+        ordered = base.repartitionByRange(KEY).sortWithinPartitions(KEY)
+        ordered.write.mode("overwrite").parquet(f"{self.root}/base/batch={number}")
+        nothing = self.spark.createDataFrame([], _DELTA)
+        nothing.write.mode("overwrite").parquet(f"{self.root}/deltas/base={number}/batch={number}")
+        self.spark.range(1).write.mode("overwrite").parquet(f"{self.root}/bases/batch={number}")
 
     def start(self, base: DataFrame) -> None:
         """Write the first base table."""
-        base.write.mode("overwrite").parquet(self._path("base", -1))
+        self.spark.createDataFrame([], AUDIT_LOG).write.mode("overwrite").parquet(f"{self.root}/audit/batch=-1")
+        self._write_base(base, -1)
 
-    def _base(self, before: int) -> tuple[int, DataFrame]:
-        number = max(n for n in self._folders("base") if n < before)
-        return number, self.spark.read.parquet(self._path("base", number))
+    def _newest_base(self, before: int) -> int:
+        # one tiny file per compaction
+        bases = self.spark.read.schema("id long, batch long").parquet(f"{self.root}/bases")
+        return bases.where(F.col("batch") < before).agg(F.max("batch")).first()[0]
+
+    def _deltas(self, number: int, before: int) -> DataFrame:
+        folder = f"{self.root}/deltas/base={number}"
+        return self.spark.read.schema(f"{_DELTA}, batch long").parquet(folder).where(F.col("batch") < before)
 
     def prices(self, before: int = 2**62, keys: DataFrame | None = None) -> DataFrame:
         """Rows as they were before a batch, for all keys or the given ones.
 
-        The newest delta of a key wins. Deltas are reduced per key before the
-        join; with ``keys`` only matching base rows reach the shuffle when the
-        key set is small enough to be broadcast.
+        The newest delta of a key wins; deltas are reduced per key before the join.
         """
-        number, base = self._base(before)
-        deltas = [p for n, p in self._folders("deltas").items() if number < n < before]
-        if keys is not None:
-            base = base.join(keys, KEY, "left_semi")
-        if not deltas:
-            return base
-        changed = self.spark.read.schema(f"{_DELTA}, batch long").option("basePath", f"{self.root}/deltas").parquet(*deltas)
+        number = self._newest_base(before)
+        base = self.spark.read.parquet(f"{self.root}/base/batch={number}")
+        changed = self._deltas(number, before)
         if keys is not None:
-            changed = changed.join(keys, KEY, "left_semi")
+            base, changed = base.join(keys, KEY, "left_semi"), changed.join(keys, KEY, "left_semi")
         newest = changed.groupBy(KEY).agg(F.max_by("adr", "batch").alias("_adr"), F.max("batch").alias("_batch"))
         adr = F.when(F.col("_batch").isNotNull(), F.col("_adr")).otherwise(F.col("adr"))
         return base.join(newest, KEY, "left").withColumn("adr", adr).select(*base.columns)
 
-    def compact(self) -> None:
-        """Fold finished deltas into a new base; older folders stay readable."""
-        finished = self._folders("deltas")
-        if finished and max(finished) > max(self._folders("base")):
-            last = max(finished)
-            self.prices(before=last + 1).write.mode("overwrite").parquet(self._path("base", last))
+    def compact(self, last: int) -> None:
+        """Fold the deltas of batches up to ``last`` into a new base."""
+        if last > self._newest_base(2**62):
+            self._write_base(self.prices(before=last + 1), last)
 
     def apply(self, changes: DataFrame, batch: int, guard: PriceGuard) -> None:
-        """Decide one micro-batch, append its audit rows and its deltas."""
-        if batch in self._folders("deltas"):
-            return
-        keys = changes.select(KEY).distinct()
-        met = self.prices(before=batch, keys=keys)
-        log = audit_log(guard.decide(changes, met))
-        log.select(*AUDIT_LOG.fieldNames()).write.mode("overwrite").parquet(self._path("audit", batch))
-        # last, because a finished delta folder marks the batch as done
-        guard.price_deltas(changes, met).write.mode("overwrite").parquet(self._path("deltas", batch))
+        """Decide one micro-batch and write its audit rows and its deltas."""
+        changes = changes.persist()
+        keys = changes.select(KEY).where(F.col(KEY).isNotNull()).distinct().persist()
+        # a small key set goes to the base rows; the base is then not shuffled
+        small = keys.count() <= self.broadcast_keys
+        met = self.prices(before=batch, keys=F.broadcast(keys) if small else keys).persist()
+        try:
+            log = audit_log(guard.decide(changes, met))
+            log.select(*AUDIT_LOG.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/audit/batch={batch}")
+            deltas = f"{self.root}/deltas/base={self._newest_base(batch)}/batch={batch}"
+            guard.price_deltas(changes, met).write.mode("overwrite").parquet(deltas)
+        finally:
+            for df in (met, keys, changes):
+                df.unpersist()
 
     def audit(self) -> DataFrame:
-        """Audit rows of finished batches."""
-        done = set(self._folders("deltas"))
-        paths = [p for n, p in self._folders("audit").items() if n in done]
-        if not paths:
-            return self.spark.createDataFrame([], AUDIT_LOG)
-        return self.spark.read.schema(AUDIT_LOG).parquet(*paths)
+        """Audit rows of all batches, with the batch number."""
+        return self.spark.read.schema(T.StructType([*AUDIT_LOG.fields, T.StructField("batch", T.LongType())])).parquet(f"{self.root}/audit")
 
 
 def without_repeats(changes: DataFrame, delay: str) -> DataFrame:
