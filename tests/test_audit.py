@@ -1,0 +1,137 @@
+"""The windowed guard against a plain loop over the changes in order."""
+
+import random
+from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewarden.operators.audit import PriceGuard, audit_log, audit_report
+from tablewarden.schemas import GRANTS, POLICIES, RESERVATIONS, Grant, Policy
+
+POL = (*POLICIES, Policy("manager_all", RESERVATIONS, "manager", "true"))
+GRA = (*GRANTS, Grant("manager", RESERVATIONS, "UPDATE"))
+CHANGES = "seq long, islem_zamani timestamp, role string, rezervasyon_id long, new_adr decimal(10,2)"
+BASE = "rezervasyon_id long, hotel string, adr decimal(10,2)"
+T0 = datetime(2024, 5, 6, 7, 8, 9)
+
+
+def _price(rng):
+    return rng.choice([None, Decimal("0.00"), Decimal(rng.randint(1, 400)) / 4])
+
+
+def _random(seed, n, keys, hot=0.0):
+    rng = random.Random(seed)
+    hotels = ["City Hotel", "Resort Hotel", "Other", None]
+    base = [(k, rng.choice(hotels), _price(rng)) for k in range(keys)]
+    roles = ["admin", "city_reception", "resort_reception", "manager", "visitor"]
+    seqs = rng.sample(range(n * 3), n)
+    changes = [
+        # key ``keys`` is unknown to the base; key 0 may be crowded
+        (s, T0 + timedelta(seconds=s), rng.choice(roles), 0 if rng.random() < hot else rng.randint(0, keys), _price(rng))
+        for s in seqs
+    ]
+    return base, changes
+
+
+def _loop(base, changes, require_grant):
+    hotel, price = {k: h for k, h, _ in base}, {k: p for k, _, p in base}
+    out = []
+    for seq, _, role, key, new in sorted(changes):
+        if key not in price:
+            continue
+        old = price[key]
+        seen = role in ("admin", "manager") or (role, hotel[key]) in {
+            ("city_reception", "City Hotel"),
+            ("resort_reception", "Resort Hotel"),
+        }
+        if require_grant and role not in ("admin", "manager"):
+            what = "NO_GRANT"
+        elif not seen:
+            what = "INVISIBLE"
+        elif old == new:
+            what = "UNCHANGED"
+        elif role.endswith("reception"):
+            what = "ENGELLENDI"
+        else:
+            what = "IZIN VERILDI" if role == "admin" else "APPLIED"
+            price[key] = new
+        percent = None
+        if old and new is not None:
+            percent = ((new - old) / old * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        out.append((seq, key, old, new, what, percent))
+    return out, price
+
+
+@pytest.mark.parametrize("require_grant", [False, True])
+@pytest.mark.parametrize("rows_per_task,hot", [(10**6, 0.0), (7, 0.5), (1, 0.3)])
+def test_same_as_loop(spark, require_grant, rows_per_task, hot):
+    base, changes = _random(rows_per_task, 1500, 30, hot)
+    want, prices = _loop(base, changes, require_grant)
+    guard = PriceGuard(POL, GRA, require_grant, rows_per_task)
+    c, b = spark.createDataFrame(changes, CHANGES), spark.createDataFrame(base, BASE)
+    got = guard.decide(c, b).select("seq", "rezervasyon_id", "eski_deger", "yeni_deger", "karar", "degisim").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    after = {r[0]: r[1] for r in guard.prices_after(c, b).select("rezervasyon_id", "adr").collect()}
+    assert after == prices
+    deltas = {r[0]: r[1] for r in guard.price_deltas(c, b).collect()}
+    assert {**{k: p for k, _, p in base}, **deltas} == prices
+
+
+def test_blocked_change_between_two_applied(spark):
+    base = spark.createDataFrame([(1, "City Hotel", Decimal("100"))], BASE)
+    rows = [
+        (1, T0, "admin", 1, Decimal("150")),
+        (2, T0, "city_reception", 1, Decimal("10")),
+        (3, T0, "admin", 1, Decimal("75")),
+        (4, T0, "resort_reception", 1, Decimal("1")),
+    ]
+    changes = spark.createDataFrame(rows, CHANGES)
+    log = audit_log(PriceGuard().decide(changes, base)).orderBy("log_id").collect()
+    assert [(r.islem_turu, r.eski_deger, r.yeni_deger) for r in log] == [
+        ("IZIN VERILDI", 100, 150),
+        ("ENGELLENDI", 150, 10),
+        ("IZIN VERILDI", 150, 75),
+    ]
+    assert log[1].aciklama == (
+        "Kullanici: city_reception | Saat: 2024-05-06 07:08:09 | Islem: Yetkisiz Fiyat Degisiklik Denemesi"
+        " | Otel: City Hotel | Degisim: %-93.33"
+    )
+    assert log[0].aciklama.endswith("Islem: Admin Fiyat Guncelleme | Otel: City Hotel | Degisim: %50.00")
+    # grant first: the receptionist never reaches the log
+    strict = audit_log(PriceGuard(require_grant=True).decide(changes, base))
+    assert {r.kullanici_adi for r in strict.collect()} == {"admin"}
+
+
+def test_percent_is_empty_for_zero_or_missing_price(spark):
+    base = spark.createDataFrame([(1, "City Hotel", Decimal("0")), (2, "City Hotel", None)], BASE)
+    changes = spark.createDataFrame([(1, T0, "admin", 1, Decimal("5")), (2, T0, "admin", 2, Decimal("5"))], CHANGES)
+    texts = [r.aciklama for r in audit_log(PriceGuard().decide(changes, base)).collect()]
+    assert all(t.endswith("| Degisim: %") for t in texts) and len(texts) == 2
+
+
+def test_report_is_newest_first(spark):
+    base = spark.createDataFrame([(1, "City Hotel", Decimal("100"))], BASE)
+    rows = [(i, T0 + timedelta(minutes=i), "admin", 1, Decimal(i)) for i in (3, 1, 2)]
+    report = audit_report(audit_log(PriceGuard().decide(spark.createDataFrame(rows, CHANGES), base))).collect()
+    assert [r.log_id for r in report] == [3, 2, 1]
+    assert report[0].zaman == "06.05.2024 07:11:09"
+    assert report[0]["Eski ADR"] == 2 and report[0]["Denenen ADR"] == 3
+
+
+def test_no_shuffle_beyond_the_join_keys(spark):
+    base, changes = _random(5, 50, 5)
+    plan = PriceGuard(POL, GRA).decide(
+        spark.createDataFrame(changes, CHANGES).hint("merge"), spark.createDataFrame(base, BASE)
+    )
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2  # one per join side; the window reuses it
+
+
+def test_unknown_role_sees_nothing(spark):
+    base = spark.createDataFrame([(1, "City Hotel", Decimal("100"))], BASE)
+    changes = spark.createDataFrame([(1, T0, "nobody", 1, Decimal("5"))], CHANGES)
+    assert PriceGuard().decide(changes, base).first().karar == "INVISIBLE"
+    assert PriceGuard().prices_after(changes, base).first().adr == 100
+    assert PriceGuard().price_deltas(changes, base).where(F.lit(True)).count() == 0
