@@ -24,7 +24,7 @@ from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import GRANTS, POLICIES, RESERVATIONS, Grant, Policy
 from tablewarden.session import scratch_dir
-from tablewarden.sources import bars_csv, bookings, layout
+from tablewarden.sources import bars_csv, bookings, layout, querylog
 from tablewarden.sources import testtables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,22 @@ def _top_avg_close_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(B.top_avg_close(table.where(layout.between_dates(*YEAR_2000)), *YEAR_2000))
 
 
+def _layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same count timed on a plain and on a year-partitioned table."""
+    span = date(1997, 1, 1), date(1997, 12, 31)
+    plain_path, log_path = scratch_dir(spark, "bars-plain"), scratch_dir(spark, "query-log")
+    src.bars(spark, sf_dir).write.parquet(plain_path)
+    tables = {
+        "plain": spark.read.parquet(plain_path).where(F.col("trade_date").between(*span)),
+        "by year": layout.read_by_year(spark, _by_year(spark, sf_dir)).where(layout.between_dates(*span)),
+    }
+    for notes, table in tables.items():
+        querylog.timed_run(
+            table.where(F.col("symbol") == SYMBOL), log_path, user="bench", text="count of one symbol and year", notes=notes
+        )
+    return logs.latest_log(querylog.read_log(spark, log_path)).select("test_tipi", "satir_sayisi")
+
+
 def _bar_queries() -> dict[str, Query]:
     return {
         "bar_derived": _on_bars(lambda b: b.select("symbol", "trade_date", "daily_change", "daily_range")),
@@ -99,6 +115,7 @@ def _bar_queries() -> dict[str, Query]:
         "load_summary": _on_bars(B.load_summary),
         "bars_by_year": _bars_by_year,
         "partition_inventory": _partition_inventory,
+        "layout_comparison": _layout_comparison,
     }
 
 

@@ -169,8 +169,9 @@ from bars
     "bars_by_year": f"select *, cast(left(trade_date, 4) as int) as trade_year from ({_FULL})",
     "partition_inventory": f"with {BARS} select cast(year(trade_date) as int) as trade_year, count(*) as satir_sayisi from bars group by 1",
     "layout_comparison": f"""
-with {BARS}
-select unnest(['plain', 'by year']) as notes, count(*) as rows_returned from bars
-where symbol = 'Brand#13' and trade_date between date '1997-01-01' and date '1997-12-31'
+with {BARS}, n as (
+    select count(*) as n from bars where symbol = 'Brand#13' and trade_date between date '1997-01-01' and date '1997-12-31'
+)
+select 'plain' as test_tipi, n as satir_sayisi from n union all select 'by year', n from n
 """,
 }
