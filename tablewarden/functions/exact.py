@@ -14,24 +14,33 @@ from pyspark.sql import functions as F
 _WIDE = "decimal(38,0)"
 
 
-def units(value: Column, scale: int) -> Column:
+def units(value: Column, scale: int, kind: str = _WIDE) -> Column:
     """A decimal(p, scale) as a whole number of its smallest unit."""
-    return (value * F.lit(10**scale).cast("decimal(10,0)")).cast(_WIDE)
+    return (value * F.lit(10**scale).cast("decimal(10,0)")).cast(kind)
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio(numerator: Column, denominator: Column, digits: int, kind: str = _WIDE) -> Column:
     """``numerator / denominator`` of whole numbers, rounded half away from zero.
 
     A zero or null denominator gives null. The result is decimal(18, digits).
+    ``kind="bigint"`` is the fast form for use on every row; it raises an error
+    when 2 * 10**digits * numerator does not fit.
     """
-    num, den = numerator.cast(_WIDE), denominator.cast(_WIDE)
+    num, den = numerator.cast(kind), denominator.cast(kind)
     # a zero divisor must not be evaluated under ANSI
-    size = F.nullif(F.abs(den), F.lit(0).cast(_WIDE))
-    doubled = F.abs(num) * F.lit(2 * 10**digits).cast("decimal(18,0)") + size
-    rounded = F.call_function("div", doubled.cast(_WIDE), (size * F.lit(2)).cast(_WIDE))
-    sign = (F.signum(num) * F.signum(den)).cast("int")
-    step = F.lit(Decimal(1).scaleb(-digits))
-    return ((rounded * sign).cast("decimal(18,0)") * step).cast(f"decimal(18,{digits})")
+    size = F.nullif(F.abs(den), F.lit(0).cast(kind))
+    factor = F.lit(2 * 10**digits).cast("bigint" if kind == "bigint" else "decimal(18,0)")
+    doubled = F.abs(num) * factor + size
+    rounded = F.call_function("div", doubled.cast(kind), (size * F.lit(2)).cast(kind))
+    negative = (num < F.lit(0)) != (den < F.lit(0))
+    whole = F.when(negative, -rounded).otherwise(rounded).cast("decimal(18,0)")
+    return (whole * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(18,{digits})")
+
+
+def unit_mean(total: Column, rows: Column, scale: int) -> Column:
+    """Mean of whole units of ``scale``, rounded to that scale; sums must fit a bigint."""
+    whole = ratio(total, rows, 0, "bigint")
+    return (whole * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(18,{scale})")
 
 
 def mean(total: Column, rows: Column, scale: int, digits: int) -> Column:

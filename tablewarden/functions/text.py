@@ -16,12 +16,17 @@ def null_words(value: Column, words: Iterable[str] = NULL_WORDS) -> Column:
 
 
 def as_int(value: Column) -> Column:
-    return value.try_cast("int")
+    # an empty text is caught here, because a failing cast costs far more
+    return F.nullif(value, F.lit("")).try_cast("int")
+
+
+# checked before a cast, because a failing cast costs far more than a match
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def as_number(value: Column, precision: int, scale: int) -> Column:
     """Rounded half away from zero to the scale; null when it does not fit."""
-    return value.try_cast(f"decimal({precision},{scale})")
+    return F.when(value.rlike(_NUMBER), value.try_cast(f"decimal({precision},{scale})"))
 
 
 def as_date(value: Column) -> Column:
@@ -29,16 +34,22 @@ def as_date(value: Column) -> Column:
     return F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"), value.try_cast("date"))
 
 
+def cut(value: Column, length: int) -> Column:
+    return F.left(value, F.lit(length))
+
+
+def too_long(value: Column, length: int) -> Column:
+    """Whether anything but blanks is beyond the length."""
+    return F.length(F.rtrim(value)) > length
+
+
 def fitted(value: Column, length: int) -> Column:
     """The text if it fits; blanks beyond the length are cut, more gives null."""
-    beyond = F.substring(value, length + 1, 2**31 - 1)
-    return F.when(F.length(value) <= length, value).when(F.trim(beyond) == "", F.left(value, F.lit(length)))
+    return F.when(~too_long(value, length), cut(value, length))
 
 
 def number_fault(value: Column, precision: int, scale: int) -> Column:
     """Why a text is no decimal(precision, scale); null when it is one."""
-    return (
-        F.when(value.isNull() | as_number(value, precision, scale).isNotNull(), None)
-        .when(value.try_cast(f"decimal(38,{scale})").isNull(), "not a number")
-        .otherwise("out of range")
+    return F.when(~value.rlike(_NUMBER), "not a number").when(
+        value.isNotNull() & value.try_cast(f"decimal({precision},{scale})").isNull(), "out of range"
     )

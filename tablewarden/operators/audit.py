@@ -98,7 +98,7 @@ class PriceGuard:
             .when(F.col("role").isin(*LOGGED_ROLES), ALLOWED)
             .otherwise("APPLIED")
         )
-        percent = ratio(units(new - old, 2) * 100, units(old, 2), 2)
+        percent = ratio(units(new - old, 2, "bigint") * 100, units(old, 2, "bigint"), 2, "bigint")
         return rows.select(
             "seq",
             "islem_zamani",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewarden.functions.exact import mean
+from tablewarden.functions.exact import unit_mean, units
 from tablewarden.session import ROWS_PER_TASK, scratch_dir
 
 CHUNK = "_chunk"
@@ -78,9 +78,11 @@ def position_in_group(
 def _means(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, spans: Mapping[str, int]) -> DataFrame:
     def one(span: int) -> Column:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-(span - 1), 0)
-        return mean(F.sum(value).over(w), F.count(value).over(w), 4, 4)
+        return unit_mean(F.sum("_units").over(w), F.count("_units").over(w), 4)
 
-    return rows.withColumns({name: one(span) for name, span in spans.items()})
+    # whole numbers slide faster than decimals and stay exact
+    rows = rows.withColumn("_units", units(F.col(value), 4, "bigint"))
+    return rows.withColumns({name: one(span) for name, span in spans.items()}).drop("_units")
 
 
 def moving_means(

@@ -87,7 +87,7 @@ def top_movers_daily(bars: DataFrame, since: date, volume_above: int, places: in
 
     Catalyst limits each map task to the needed ranks before the shuffle.
     """
-    percent = ratio(units(F.col("daily_change"), 4) * 100, units(F.col("open_price"), 4), 2)
+    percent = ratio(units(F.col("daily_change"), 4, "bigint") * 100, units(F.col("open_price"), 4, "bigint"), 2, "bigint")
     best = F.rank().over(W.partitionBy("trade_date").orderBy(F.col("daily_change").desc_nulls_first()))
     ranked = (
         bars.where((F.col("trade_date") >= since) & (F.col("volume") > volume_above))

@@ -83,7 +83,7 @@ def statement_ages(log: DataFrame, as_of: datetime, state: str, pattern: str) ->
             F.col("id").alias("pid"),
             F.col("username").alias("kullanici"),
             F.col("notes").alias("durum"),
-            ratio(micros, F.lit(1_000_000), 2).alias("sure_saniye"),
+            ratio(micros, F.lit(1_000_000), 2, "bigint").alias("sure_saniye"),
             F.left("query_text", F.lit(120)).alias("sorgu"),
             "logged_at",
         )

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # recording the Python call site of every column costs more than building it
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Rows one task may hold as a single group before the group is split.

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.functions.text import as_date, as_int, as_number, fitted, null_words, number_fault
+from tablewarden.functions.text import as_date, as_int, as_number, cut, null_words, number_fault, too_long
 from tablewarden.operators.derived import with_surrogate_id
 from tablewarden.schemas import BOOKING_COLUMNS, SENTINEL_COLUMNS
 
-_BAD, _MARK = "_bad", "\u0001"
+ROW, COUNT, _BAD, _MARK = "_row", "_n", "_bad", "\u0001"
 GOOD, REJECTED = "good", "rejected"
 
 
-def _fields(line: Column, names: list[str]) -> Column:
+def _split(line: Column, names: list[str]) -> Column:
     """A line as a struct of texts with one extra field after the last.
 
     A mark is put behind the line; its place tells how many fields there were.
@@ -25,8 +25,8 @@ def _fields(line: Column, names: list[str]) -> Column:
     return F.from_csv(F.concat(line, F.lit("," + _MARK)), schema)
 
 
-def _count_fields(fields: Column, names: list[str]) -> Column:
-    place = F.array_position(F.array(*[fields[n] for n in [*names, _MARK + "end"]]), _MARK)
+def _count_fields(row: Column, names: list[str]) -> Column:
+    place = F.array_position(F.array(*[row[n] for n in [*names, _MARK + "end"]]), _MARK)
     return F.when(place > 0, place - 1).otherwise(len(names)).cast("int")
 
 
@@ -34,15 +34,21 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once per row.
 
     It comes from a generator, so the optimizer does not copy the expression
-    into every later use of the column.
+    into every later use of the column, and each one is compiled on its own.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _present(name: str, place: int) -> Column:
+    """The reader gives null for both an empty and an absent field; tell them apart."""
+    return F.when(F.col(COUNT) > place, F.coalesce(F.col(ROW)[name], F.lit("")))
+
+
 def read_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text, matched by header name; "" for an empty field, null for an absent one.
+    """Rows as a struct of texts in table order, and the number of fields present.
 
-    Only the header is read for the names; no pass infers types.
+    Columns are matched by header name. Only the header is read for the names;
+    no pass infers types.
     """
     names = spark.read.option("header", True).csv(path).columns
     missing = [c for c in BOOKING_COLUMNS if c not in names]
@@ -51,23 +57,23 @@ def read_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
     rows = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", _BAD).csv(path)
     # only lines with a wrong number of fields are parsed a second time
-    recounted = F.transform(F.array(_fields(F.col(_BAD), names)), lambda f: _count_fields(f, names))[0]
-    rows = _once(rows, "_n", F.when(F.col(_BAD).isNull(), len(names)).otherwise(recounted))
-    return rows.select(*[_empty_if_present(F.col(c), names.index(c)).alias(c) for c in BOOKING_COLUMNS])
-
-
-def _empty_if_present(value: Column, place: int) -> Column:
-    """The reader gives null for both an empty and an absent field; tell them apart."""
-    return F.when(F.col("_n") > place, F.coalesce(value, F.lit("")))
+    recounted = F.transform(F.array(_split(F.col(_BAD), names)), lambda row: _count_fields(row, names))[0]
+    count = F.when(F.col(_BAD).isNull(), len(names)).otherwise(recounted)
+    rows = _once(rows.select(F.struct(*names).alias(ROW), count.alias("_c")), COUNT, F.col("_c")).drop("_c")
+    if names[: len(BOOKING_COLUMNS)] == list(BOOKING_COLUMNS):
+        return rows
+    # another column order: settle absent fields here
+    by_name = F.struct(*[_present(c, names.index(c)).alias(c) for c in BOOKING_COLUMNS])
+    return rows.select(by_name.alias(ROW), F.lit(len(names)).alias(COUNT))
 
 
 def strings_from_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """The same from a column of lines in file order; other columns are kept."""
+    """The same from a column of lines in table order; other columns are kept."""
     names = list(BOOKING_COLUMNS)
-    parsed = _once(lines, "_f", _fields(F.col(line), names))
-    parsed = _once(parsed, "_n", _count_fields(F.col("_f"), names))
-    kept = [c for c in lines.columns if c != line]
-    return parsed.select(*kept, *[_empty_if_present(F.col("_f")[n], i).alias(n) for i, n in enumerate(names)])
+    rows = _once(lines, ROW, _split(F.col(line), names)).drop(line)
+    recounted = F.transform(F.array(F.col(ROW)), lambda row: _count_fields(row, names))[0]
+    whole = F.col(ROW)[_MARK + "end"] == _MARK
+    return _once(rows, COUNT, F.when(whole, len(names)).otherwise(recounted))
 
 
 def _parts(kind: str) -> tuple[str, list[int]]:
@@ -81,33 +87,45 @@ def typed(strings: DataFrame) -> DataFrame:
     An absent or empty whole number is a fault. An empty text stays empty, an
     absent one is null. The null words count only in the sentinel columns.
     Faults of parsing come before faults of fitting, each in column order.
+
+    The row travels as one struct and each kind of column is converted by its
+    own generator, which keeps every compiled method small enough for the JIT.
     """
-    parsing, fitting, columns = [], [], {}
-    for name, kind in BOOKING_COLUMNS.items():
+    values: dict[str, list[Column]] = {"int": [], "text": [], "number": [], "date": []}
+    parsing, fitting, too_long_texts, columns = [], [], [], []
+    for place, (name, kind) in enumerate(BOOKING_COLUMNS.items()):
         sort, size = _parts(kind)
-        text = F.col(name)
-        if name in SENTINEL_COLUMNS:
-            text = null_words(text)
+        # a sentinel column has null for both, and so has a whole number
+        absent_is_empty = name in SENTINEL_COLUMNS or sort == "int"
+        text = null_words(F.col(ROW)[name]) if absent_is_empty else _present(name, place)
+        value = F.col(f"_{sort}")[name]
+        columns.append(value.alias(name))
         if sort == "int":
-            columns[name] = as_int(text)
-            parsing.append(F.when(columns[name].isNull(), f"{name}: not an integer"))
+            values[sort].append(as_int(F.col(ROW)[name]).alias(name))
+            parsing.append(F.when(value.isNull(), f"{name}: not an integer"))
         elif sort == "number":
-            columns[name] = as_number(text, *size)
-            fault = number_fault(text, *size)
-            needed = text.isNull() if name not in SENTINEL_COLUMNS else F.lit(False)
-            (fitting if name in SENTINEL_COLUMNS else parsing).append(
-                F.when(needed | (fault == "not a number"), f"{name}: not a number")
-            )
+            fault = F.col(f"_{sort}")[f"{name}_fault"]
+            values[sort] += [as_number(text, *size).alias(name), number_fault(text, *size).alias(f"{name}_fault")]
+            if name in SENTINEL_COLUMNS:
+                fitting.append(F.when(fault == "not a number", f"{name}: not a number"))
+            else:
+                no_number = (fault == "not a number") | (value.isNull() & fault.isNull())
+                parsing.append(F.when(no_number, f"{name}: not a number"))
             fitting.append(F.when(fault == "out of range", f"{name}: out of range"))
         elif sort == "date":
-            columns[name] = as_date(text)
-            fitting.append(F.when(text.isNotNull() & columns[name].isNull(), f"{name}: not a date"))
+            values[sort] += [as_date(text).alias(name), text.isNotNull().alias(f"{name}_given")]
+            given = F.col(f"_{sort}")[f"{name}_given"]
+            fitting.append(F.when(given & value.isNull(), f"{name}: not a date"))
         else:
-            columns[name] = fitted(text, *size)
-            fitting.append(F.when(text.isNotNull() & columns[name].isNull(), f"{name}: too long"))
-    kept = [c for c in strings.columns if c not in BOOKING_COLUMNS]
-    reason = F.coalesce(*parsing, *fitting)
-    return strings.select(*kept, *[c.alias(n) for n, c in columns.items()], reason.alias("reason"))
+            values[sort].append(cut(text, *size).alias(name))
+            too_long_texts.append(F.when(too_long(text, *size), f"{name}: too long"))
+    rows = strings
+    for sort, converted in values.items():
+        rows = _once(rows, f"_{sort}", F.struct(*converted))
+    rows = _once(rows, "_long", F.coalesce(*too_long_texts))
+    kept = [c for c in strings.columns if c not in (ROW, COUNT)]
+    reason = F.coalesce(*parsing, F.col("_long"), *fitting)
+    return rows.select(*kept, *columns, reason.alias("reason"))
 
 
 def load(spark: SparkSession, path: str | list[str], out: str, mode: str = "overwrite") -> None:

@@ -21,9 +21,10 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars per brand.
 
     The order key is a single long, so every aggregate buffer is of fixed width
-    and the partial step stays a hash aggregate.
+    and the partial step stays a hash aggregate. Prices become decimals after
+    the aggregate, once per bar.
     """
-    price = F.col("l_extendedprice").cast("decimal(12,4)")
+    price = F.col("l_extendedprice")
     order = trade_order("l_orderkey", "l_linenumber", "l_partkey")
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -34,10 +35,10 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").cast("date").alias("trade_date"),
         )
         .agg(
-            F.min_by(price, order).alias("open_price"),
-            F.max(price).alias("high_price"),
-            F.min(price).alias("low_price"),
-            F.max_by(price, order).alias("close_price"),
+            F.min_by(price, order).cast("decimal(12,4)").alias("open_price"),
+            F.max(price).cast("decimal(12,4)").alias("high_price"),
+            F.min(price).cast("decimal(12,4)").alias("low_price"),
+            F.max_by(price, order).cast("decimal(12,4)").alias("close_price"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
         )
     )
