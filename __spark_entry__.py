@@ -46,7 +46,7 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         return c.alias(field.name)

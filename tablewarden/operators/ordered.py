@@ -58,14 +58,15 @@ def with_chunk(df: DataFrame, keys: Sequence[str], seq: str, rows_per_task: int)
 
 
 def position_in_group(
-    df: DataFrame, group: str, seq: str, name: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, group: str, seq: str, name: str, rows_per_task: int = ROWS_PER_TASK, descending: bool = False
 ) -> DataFrame:
     """Place of each row in its group, from 1, in order of the unique long ``seq``."""
     rows, split = with_chunk(df, [group], seq, rows_per_task)
-    place = F.row_number().over(W.partitionBy(group, CHUNK).orderBy(seq)).cast("bigint")
+    ordered = lambda c: F.col(c).desc() if descending else F.col(c).asc()
+    place = F.row_number().over(W.partitionBy(group, CHUNK).orderBy(ordered(seq))).cast("bigint")
     if not split:
         return rows.withColumn(name, place).drop(CHUNK)
-    before = W.partitionBy(group).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(group).orderBy(ordered(CHUNK)).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(group, CHUNK)
         .agg(F.count("*").alias("_rows"))

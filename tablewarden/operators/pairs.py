@@ -33,6 +33,6 @@ def pairs_in_group(df: DataFrame, group: str, id_column: str) -> DataFrame:
 def later_partners(df: DataFrame, group: str, id_column: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """For each member, how many members of its group have a higher id."""
     rows = df.where(F.col(group).isNotNull()).select(group, id_column)
-    placed = position_in_group(rows, group, id_column, "_place", rows_per_task)
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_size"))
-    return placed.join(sizes, group).select(group, id_column, (F.col("_size") - F.col("_place")).alias("sonraki_uye"))
+    # counted from the highest id down, the place itself is the answer
+    placed = position_in_group(rows, group, id_column, "_place", rows_per_task, descending=True)
+    return placed.select(group, id_column, (F.col("_place") - 1).alias("sonraki_uye"))

@@ -55,7 +55,9 @@ def read_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"columns missing in the file: {', '.join(missing)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
-    rows = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", _BAD).csv(path)
+    # every file must have the same header; one with another order stops the load
+    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": _BAD}
+    rows = spark.read.schema(schema).options(**options).csv(path)
     # only lines with a wrong number of fields are parsed a second time
     recounted = F.transform(F.array(_split(F.col(_BAD), names)), lambda row: _count_fields(row, names))[0]
     count = F.when(F.col(_BAD).isNull(), len(names)).otherwise(recounted)

@@ -19,6 +19,7 @@ GOOD = dict(
 
 def _write(path, rows, names=None):
     names = list(names or BOOKING_COLUMNS)
+    path.parent.mkdir(exist_ok=True)
     lines = [",".join(names)]
     for row in rows:
         lines.append(row if isinstance(row, str) else ",".join(row[n] for n in names))
@@ -107,6 +108,10 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     names = list(reversed(BOOKING_COLUMNS))
     row = bookings.good(_load(spark, tmp_path, [GOOD], names)).first()
     assert row.hotel == "City Hotel" and row.adr == Decimal("12.35")
+    _write(tmp_path / "more" / "a.csv", [GOOD])
+    _write(tmp_path / "more" / "b.csv", [GOOD], names)
+    with pytest.raises(Exception, match="header"):
+        bookings.typed(bookings.read_strings(spark, str(tmp_path / "more"))).collect()
     (tmp_path / "other.csv").write_text("hotel,adr\nx,1\n")
     with pytest.raises(ValueError, match="lead_time"):
         bookings.read_strings(spark, str(tmp_path / "other.csv"))

@@ -61,6 +61,8 @@ def test_positions_and_partners(spark, rows_per_task):
     for g in ("x", "y"):
         mine = sorted(i for h, i in rows if h == g)
         assert sorted((r.id, r.place) for r in got if r.g == g) == [(i, n) for n, i in enumerate(mine, 1)]
+    down = position_in_group(df.where("g = 'x'"), "g", "id", "place", rows_per_task, descending=True)
+    assert [r.id for r in down.orderBy("place").collect()] == sorted((i for h, i in rows if h == "x"), reverse=True)
     partners = {r.id: r.sonraki_uye for r in later_partners(df, "g", "id", rows_per_task).collect()}
     assert partners == {i: sum(1 for h, j in rows if h == g and j > i) for g, i in rows if g is not None}
     pairs = {r.g: r.cift_sayisi for r in pairs_in_group(df, "g", "id").collect()}
