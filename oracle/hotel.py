@@ -122,7 +122,7 @@ rights as (
            case when value < 20 then 'stock_prices' when value < 60 then 'query_audit_log' else 'rezervasyonlar' end as table_name,
            case event_type when 'view' then 'SELECT' when 'signup' then 'INSERT' when 'click' then 'UPDATE'
                 when 'purchase' then 'DELETE' else 'REFERENCES' end as privilege_type,
-           event_id
+           value
     from events
 )
 """
@@ -156,7 +156,7 @@ where table_name in ('stock_prices', 'query_audit_log') and grantee not in ('use
 group by 1, 2
 """,
     "grant_check": f"""
-with {_RIGHTS}, granted as (select distinct grantee, table_name, privilege_type from rights where event_id % 3 <> 0)
+with {_RIGHTS}, granted as (select distinct grantee, table_name, privilege_type from rights where value >= 10)
 select distinct r.grantee, r.table_name, r.privilege_type from rights r
 where not exists (select 1 from granted g where g.grantee = r.grantee and g.table_name = r.table_name
                   and g.privilege_type = r.privilege_type)

@@ -76,7 +76,9 @@ def latest_log(log: DataFrame, rows: int = 10) -> DataFrame:
 
 def statement_ages(log: DataFrame, as_of: datetime, state: str, pattern: str) -> DataFrame:
     """Seconds since each statement, without one state and without matching texts."""
-    micros = F.timestamp_diff("MICROSECOND", F.col("logged_at"), F.lit(as_of).cast(log.schema["logged_at"].dataType))
+    # as text, so that a time without zone is not shifted by the session's zone
+    now = F.lit(as_of.isoformat(sep=" ")).cast(log.schema["logged_at"].dataType)
+    micros = F.timestamp_diff("MICROSECOND", F.col("logged_at"), now)
     return (
         log.where((F.col("notes") != state) & ~F.col("query_text").ilike(pattern))
         .select(
