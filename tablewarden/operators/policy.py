@@ -63,7 +63,8 @@ def tenant_policies(df: DataFrame, tenant: str = "hotel", table: str = RESERVATI
     """One policy per tenant found in the data."""
     t = F.col(tenant)
     slug = F.regexp_replace(F.lower(t), "[^a-z0-9]+", "_")
-    quoted = F.replace(t, F.lit("'"), F.lit("''"))
+    # the name becomes SQL text: double its quotes and backslashes
+    quoted = F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
     return df.select(t).where(t.isNotNull()).distinct().select(
         F.concat(slug, F.lit("_policy")).alias("politika_adi"),
         F.lit(table).alias("tablo"),
@@ -107,6 +108,23 @@ def guarded_read(
     return visible(df, role, policies, table) if policies else df
 
 
+def guarded_append(
+    df: DataFrame,
+    path: str,
+    role: str,
+    table: str = RESERVATIONS,
+    grants: Iterable[Grant] = GRANTS,
+    policies: Iterable[Policy] = POLICIES,
+) -> None:
+    """Append rows as a role: needs INSERT, and a row outside its policy stops the job."""
+    require(role, table, "INSERT", grants)
+    policies = [p for p in policies if p.table == table]
+    if policies:
+        refused = F.raise_error(F.lit(f"new row violates row policy of {table}")).cast("boolean")
+        df = df.where(F.when(row_guard(role, policies, table), True).otherwise(refused))
+    df.write.mode("append").parquet(path)
+
+
 def missing_rights(required: DataFrame, grants: DataFrame) -> DataFrame:
     """Distinct required rights that are not granted."""
     keys = ["grantee", "table_name", "privilege_type"]

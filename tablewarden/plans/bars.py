@@ -208,11 +208,15 @@ def avg_yearly_return(bars: DataFrame, years: int = 4, rows: int = 15, equal_yea
     )
 
 
-def load_summary(bars: DataFrame) -> DataFrame:
-    """Row count, symbols and date range; one row even for an empty table."""
+def load_summary(bars: DataFrame, approximate: bool = False) -> DataFrame:
+    """Row count, symbols and date range; one row even for an empty table.
+
+    ``approximate=True`` estimates the number of symbols, without a shuffle of them.
+    """
+    symbols = F.approx_count_distinct("symbol") if approximate else F.count_distinct("symbol")
     return bars.agg(
         F.count("*").alias("toplam_kayit"),
-        F.count_distinct("symbol").alias("farkli_hisse"),
+        symbols.alias("farkli_hisse"),
         F.min("trade_date").alias("ilk_tarih"),
         F.max("trade_date").alias("son_tarih"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.exact import size_text
+from tablewarden.schemas import BARS_COMMENT
 
 YEAR = "trade_year"
 
@@ -33,6 +34,14 @@ def read_by_year(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def register(spark: SparkSession, name: str, path: str, comment: str = BARS_COMMENT) -> None:
+    """Name the folder in the catalog with a comment and fresh size statistics; safe to repeat."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet", description=comment)
+    spark.catalog.recoverPartitions(name)
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+
+
 def between_dates(since: date, until: date, day: str = "trade_date") -> Column:
     """Date range that also names the years, so folders outside are not listed."""
     return F.col(day).between(since, until) & F.col(YEAR).between(since.year, until.year)

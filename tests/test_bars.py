@@ -5,6 +5,7 @@ import pytest
 
 from tablewarden.operators.derived import with_bar_columns, with_load_time
 from tablewarden.plans import bars as B
+from tablewarden.schemas import BARS_COMMENT
 from tablewarden.sources import bars_csv, layout
 
 SCHEMA = (
@@ -76,6 +77,8 @@ def test_peaks_differ_when_the_day_filter_comes_first(spark):
 def test_summary_of_an_empty_table_is_one_row(spark):
     assert [tuple(r) for r in B.load_summary(_df(spark, [])).collect()] == [(0, 0, None, None)]
     assert B.year_share(_df(spark, [])).count() == 0
+    few = _df(spark, [_bar(s, date(2015, 1, 1), 1, 2) for s in "ABBC"])
+    assert B.load_summary(few).first()[1] == B.load_summary(few, approximate=True).first()[1] == 3
 
 
 def test_strict_load(spark, tmp_path):
@@ -124,6 +127,13 @@ def test_year_layout_prunes_and_counts(spark, tmp_path):
     assert [(r.trade_year, r.satir_sayisi) for r in inventory] == [(2016, 4), (2017, 4), (2018, 4)]
     assert all(r.bayt > 0 and r.boyut.endswith("bytes") for r in inventory)
     assert layout.table_size(table).first().bayt == sum(r.bayt for r in inventory)
+    # as a catalog table, registered twice without harm
+    for _ in range(2):
+        layout.register(spark, "bars_table", path)
+    assert spark.table("bars_table").count() == 12
+    described = {r.col_name: r.data_type for r in spark.sql("describe extended bars_table").collect()}
+    assert described["Comment"] == BARS_COMMENT and "bytes" in described["Statistics"]
+    spark.sql("drop table bars_table")
     # overwriting one year keeps the others
     layout.write_by_year(df.where("trade_date < '2017-01-01'").limit(1), path)
     assert [r.satir_sayisi for r in layout.partition_inventory(spark, path).collect()] == [1, 4, 4]
