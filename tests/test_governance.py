@@ -130,6 +130,9 @@ def test_card_numbers_and_tokens(spark):
     assert df.where(~F.col("pan").rlike(r"^4\d{15}$")).count() == 0
     low = spark.range(1).select(card_number(F.lit(0)), card_number(F.lit(9 * 10**14 - 1))).first()
     assert tuple(low) == ("4100000000000000", "4999999999999999")
+    many = spark.range(0, 2000, 1, 7).withColumn("pan", card_number()).withColumn("t", card_token(F.col("pan"), "p"))
+    assert many.where(matches(F.col("t"), F.col("pan"), "p")).count() == 2000
+    assert many.select("t").distinct().count() == 2000
     same = spark.range(2).select(card_token(F.lit("4000111122223333"), "p").alias("t")).collect()
     assert same[0].t != same[1].t
     row = spark.createDataFrame([(same[0].t,)], "t string").select(
