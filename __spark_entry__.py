@@ -28,6 +28,13 @@ from tablewarden.session import scratch_dir
 from tablewarden.sources import bars_csv, bookings, layout, querylog
 from tablewarden.sources import testtables as src
 
+try:  # the text operators are a part that may be left out
+    from tablewarden.llm import queries as text_queries
+except ImportError as error:
+    if not (error.name or "").startswith(("tablewarden.llm", "corpus_pipeline")) and "tablewarden.llm" not in str(error):
+        raise
+    text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SYMBOL = "Brand#13"
@@ -287,14 +294,16 @@ def _log_queries() -> dict[str, Query]:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Mean yearly return per symbol on the smallest tables."""
-    return queries()["avg_yearly_return"](spark, "/root/testdata/sf0.001")
+    """Mean yearly return per symbol on the smallest tables, or on those that ``ENTRY_SF_DIR`` names."""
+    return queries()["avg_yearly_return"](spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Query]:
-    return {**_bar_queries(), **_hotel_queries(), **_ingest_queries(), **_log_queries()}
+    own = {**_bar_queries(), **_hotel_queries(), **_ingest_queries(), **_log_queries()}
+    return {**own, **(text_queries.queries() if text_queries else {})}
 
 
 def oracle_sql() -> dict[str, str]:
     keys = queries()
-    return {k: v for k, v in all_sql().items() if k in keys}
+    texts = text_queries.oracle_sql() if text_queries else {}
+    return {k: v for k, v in {**all_sql(), **texts}.items() if k in keys}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,16 +34,49 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one that ``spark.checkpoint.dir`` names.
+
+    Every executor must see it, so off a local master it has to be set. A local
+    session without it gets ``tablewarden-scratch`` below the system's temporary
+    folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "tablewarden-scratch")
+
+
+# Folders of this process, for clear_scratch.
+_made: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under the session's checkpoint folder.
+    """A new folder path for an intermediate table; ``clear_scratch`` removes it."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only when
-    that is unset (tests) is a local temporary folder made and recorded.
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes the scratch folders that this process has made.
+
+    To be called once the results that read them have been written. A session
+    on a local master does so when Python ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tablewarden-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+def _clear_local() -> None:
+    for path in _made:
+        if path.startswith(tempfile.gettempdir()):
+            shutil.rmtree(path, ignore_errors=True)
+
+
+atexit.register(_clear_local)
