@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewarden.llm import bpe, token_counts, token_files
+from tablewarden.llm import bpe, line_dedup, quality_rules, simhash, token_counts, token_files
 from tablewarden.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,10 +19,16 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": _on_documents(bpe.round_trip_digests),
+        "op2_simhash": _on_documents(simhash.near_duplicates),
         "op6_token_counts": _on_documents(token_counts.count_tokens),
         "op7_token_files": _on_documents(token_files.token_file_digests),
+        "op8_quality_rules": _on_documents(quality_rules.apply_rules),
+        "op10_line_dedup": _on_documents(line_dedup.line_dedup_digests),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_quality_rules": quality_rules.oracle(),
+        "op10_line_dedup": line_dedup.oracle(),
+    }
