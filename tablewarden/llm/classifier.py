@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import doc_texts
+from tablewarden.llm.common import doc_texts, with_fields
 
 FOLDS = 5
 #: Labelled documents that the space is fitted on and that vote, at most.
@@ -179,7 +179,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                     [*part.columns, pa.array(m.scores(counts))], names=[*part.schema.names, "__score"]
                 )
 
-    return docs.mapInArrow(score, docs.schema.add("__score", "double"))
+    return docs.mapInArrow(score, with_fields(docs, __score="double"))
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:

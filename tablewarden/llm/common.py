@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.session import scratch_dir
 
@@ -28,6 +29,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of ``df`` with more fields behind it."""
+    more = [T.StructField(name, T.LongType() if kind == "long" else T.DoubleType()) for name, kind in kinds.items()]
+    return T.StructType([*df.schema.fields, *more])
+
+
 def vocabulary_path(name: str) -> str:
     """A path as given, or the place of a public vocabulary file of that name."""
     if os.path.exists(name):

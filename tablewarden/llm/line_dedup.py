@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import by_slices
+from tablewarden.llm.common import by_slices, with_fields
 
 LINES = 3
 BLANK = " \t\n\x0b\x0c\r"
@@ -99,8 +99,7 @@ def remove_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
             names=[*names, "__n_lines", "__n_removed"],
         )
 
-    schema = marked.drop("__gone").schema.add("__n_lines", "long").add("__n_removed", "long")
-    return marked.mapInArrow(by_slices(cut), schema)
+    return marked.mapInArrow(by_slices(cut), with_fields(marked.drop("__gone"), __n_lines="long", __n_removed="long"))
 
 
 def line_dedup_digests(docs: DataFrame) -> DataFrame:
