@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewarden.llm import bpe, classifier, line_dedup, quality_rules, simhash, token_counts, token_files
+from tablewarden.llm import bpe, classifier, decontaminate, line_dedup, pii, quality_rules, simhash, token_counts, token_files
 from tablewarden.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +24,20 @@ def _classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
+def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": _on_documents(bpe.round_trip_digests),
         "op2_simhash": _on_documents(simhash.near_duplicates),
+        "op4_decontamination": _decontaminate,
         "op5_quality_classifier": _classify,
         "op6_token_counts": _on_documents(token_counts.count_tokens),
         "op7_token_files": _on_documents(token_files.token_file_digests),
         "op8_quality_rules": _on_documents(quality_rules.apply_rules),
+        "op9_personal_data": _on_documents(pii.find_personal_data),
         "op10_line_dedup": _on_documents(line_dedup.line_dedup_digests),
     }
 
