@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewarden.llm import bpe, classifier, decontaminate, line_dedup, pii, quality_rules, simhash, token_counts, token_files
+from tablewarden.llm import bpe, classifier, decontaminate, exact_dedup, line_dedup, pii, quality_rules, simhash, token_counts, token_files
 from tablewarden.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": _on_documents(bpe.round_trip_digests),
         "op2_simhash": _on_documents(simhash.near_duplicates),
+        "op3_suffix_dedup": _on_documents(exact_dedup.exact_dedup_digests),
         "op4_decontamination": _decontaminate,
         "op5_quality_classifier": _classify,
         "op6_token_counts": _on_documents(token_counts.count_tokens),
