@@ -188,6 +188,13 @@ def word_bpe(name: str) -> WordBpe:
     return WordBpe(vocabulary_path(name))
 
 
+def _id_lists(each: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(each) + 1, np.int32)
+    np.cumsum([len(x) for x in each], out=offsets[1:])
+    values = np.concatenate([*each, np.empty(0, "<u4")]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def encode_documents(docs: DataFrame, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text.
 
@@ -197,34 +204,43 @@ def encode_documents(docs: DataFrame, vocabulary: str = WORD_VOCABULARY) -> Data
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = word_bpe(vocabulary)
-        each = [bpe.encode(t) for t in batch.column(1).to_pylist()]
-        offsets = np.zeros(len(each) + 1, np.int32)
-        np.cumsum([len(x) for x in each], out=offsets[1:])
-        values = pa.array(np.concatenate([*each, np.empty(0, "<u4")]).astype(np.int32))
-        ids = pa.ListArray.from_arrays(pa.array(offsets), values)
+        ids = _id_lists([bpe.encode(t) for t in batch.column(1).to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
     return doc_texts(docs).mapInArrow(by_slices(encode), "doc_id long, ids array<int>")
 
 
-def round_trip_digests(docs: DataFrame, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
-    """Count and digest of the ids of every text, and digest of what they decode to.
-
-    Encoding and decoding run in one pass, so that no id leaves the worker.
-    """
-
+def _round_trip(docs: DataFrame, vocabulary: str, with_ids: bool) -> DataFrame:
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = word_bpe(vocabulary)
-        n, of_ids, of_text = [], [], []
+        each, n, of_ids, of_text = [], [], [], []
         for text in batch.column(1).to_pylist():
             ids = bpe.encode(text)
+            if with_ids:
+                each.append(ids)
             n.append(len(ids))
             of_ids.append(hashlib.sha256(ids.tobytes()).hexdigest())
             of_text.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            columns.append(_id_lists(each))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return doc_texts(docs).mapInArrow(by_slices(digest), schema)
+    return doc_texts(docs).mapInArrow(by_slices(digest), schema + (", ids array<int>" if with_ids else ""))
+
+
+def round_trip_digests(docs: DataFrame, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
+    """Count and digest of the ids of every text, and digest of what they decode to.
+
+    Encoding and decoding run in one pass, so that no id leaves the worker. A
+    null or empty text has no token. Repeated rows stay repeated.
+    """
+    return _round_trip(docs, vocabulary, with_ids=False)
+
+
+def encoded_round_trip(docs: DataFrame, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
+    """The same with the ids themselves as a last column."""
+    return _round_trip(docs, vocabulary, with_ids=True)
