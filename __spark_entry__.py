@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token
 from tablewarden.operators import audit, constraints, normalise, pairs, policy
-from tablewarden.operators.ordered import settle
 from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import GRANTS, POLICIES, RESERVATIONS, Grant, Policy
@@ -85,9 +84,7 @@ def _top_avg_close_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _moving_averages_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # read twice, by the count of crowded symbols and by the windows
-    bars = settle(src.bars(spark, sf_dir).select("symbol", "trade_date", "close_price"), "bars")
-    return plain(B.moving_averages_all(bars))
+    return plain(B.moving_averages_all(src.bars(spark, sf_dir)))
 
 
 def _layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:

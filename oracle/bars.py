@@ -15,7 +15,7 @@ bars as (
                cast(sum(cast(l_quantity as bigint)) as bigint) as volume
         from (select l_partkey, l_shipdate, l_quantity,
                      cast(l_extendedprice as decimal(12,4)) as price,
-                     (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey % 1048576 as k
+                     row(l_orderkey, l_linenumber, l_partkey, l_suppkey) as k
               from lineitem) l
         join part on l_partkey = p_partkey
         group by 1, 2
@@ -55,8 +55,8 @@ def _returns(weighted: bool) -> str:
     return f"""
 with {BARS}, daily as (
     select symbol, year(trade_date) as yil,
-           first_value(close_price) over (partition by symbol, year(trade_date) order by trade_date) as f,
-           last_value(close_price) over (partition by symbol, year(trade_date) order by trade_date
+           first_value(close_price) over (partition by symbol, year(trade_date) order by trade_date, close_price) as f,
+           last_value(close_price) over (partition by symbol, year(trade_date) order by trade_date, close_price
                rows between unbounded preceding and unbounded following) as l
     from bars
 ), per_row as (

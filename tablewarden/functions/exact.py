@@ -19,10 +19,10 @@ def units(value: Column, scale: int, kind: str = _WIDE) -> Column:
     return (value * F.lit(10**scale).cast("decimal(10,0)")).cast(kind)
 
 
-def ratio(numerator: Column, denominator: Column, digits: int, kind: str = _WIDE) -> Column:
+def ratio(numerator: Column, denominator: Column, digits: int, kind: str = _WIDE, precision: int = 18) -> Column:
     """``numerator / denominator`` of whole numbers, rounded half away from zero.
 
-    A zero or null denominator gives null. The result is decimal(18, digits).
+    A zero or null denominator gives null. The result is decimal(precision, digits).
     ``kind="bigint"`` is the fast form for use on every row; it raises an error
     when 2 * 10**digits * numerator does not fit.
     """
@@ -33,8 +33,8 @@ def ratio(numerator: Column, denominator: Column, digits: int, kind: str = _WIDE
     doubled = F.abs(num) * factor + size
     rounded = F.call_function("div", doubled.cast(kind), (size * F.lit(2)).cast(kind))
     negative = (num < F.lit(0)) != (den < F.lit(0))
-    whole = F.when(negative, -rounded).otherwise(rounded).cast("decimal(18,0)")
-    return (whole * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(18,{digits})")
+    whole = F.when(negative, -rounded).otherwise(rounded).cast(f"decimal({precision},0)")
+    return (whole * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal({precision},{digits})")
 
 
 def unit_mean(total: Column, rows: Column, scale: int) -> Column:

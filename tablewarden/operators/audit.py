@@ -20,6 +20,8 @@ from tablewarden.schemas import BLOCKED_ROLES, GRANTS, LOGGED_ROLES, POLICIES, R
 from tablewarden.session import ROWS_PER_TASK
 
 KEY = "rezervasyon_id"
+# the order of changes; the columns after seq only matter where it is missing
+ORDER = ["seq", "islem_zamani", "role", "new_adr"]
 BLOCKED, ALLOWED = "ENGELLENDI", "IZIN VERILDI"
 
 
@@ -54,7 +56,7 @@ class PriceGuard:
         """Newest change of each applying role, one row per key, by hash aggregate."""
         aggs = []
         for i, role in enumerate(self._appliers()):
-            seq = F.when(F.col("role") == role, F.col("seq"))
+            seq = F.when(F.col("role") == role, F.struct(*ORDER))
             aggs += [F.max(seq).alias(f"_seq{i}"), F.max_by("new_adr", seq).alias(f"_adr{i}")]
         return changes.groupBy(*keys).agg(*aggs)
 
@@ -72,14 +74,14 @@ class PriceGuard:
     def decide(self, changes: DataFrame, base: DataFrame) -> DataFrame:
         """Every change of a known reservation with the price it met and the decision.
 
-        ``changes``: seq (unique long), islem_zamani, role, rezervasyon_id, new_adr.
+        ``changes``: seq (unique long; a missing one comes first), islem_zamani, role, rezervasyon_id, new_adr.
         ``base``: rezervasyon_id, adr and the columns policies name.
         """
-        changes, split = with_chunk(changes, [KEY], "seq", self.rows_per_task)
+        changes, split = with_chunk(changes, [KEY], ORDER, self.rows_per_task)
         applied = (
             self._may_update() & role_guard(F.col("role"), self.policies) & ~F.col("role").isin(*BLOCKED_ROLES)
         )
-        earlier = W.partitionBy(KEY, CHUNK).orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
+        earlier = W.partitionBy(KEY, CHUNK).orderBy(*ORDER).rowsBetween(W.unboundedPreceding, -1)
         # the struct keeps a null price apart from no price
         local = F.last(F.when(applied, F.struct("new_adr")), ignorenulls=True).over(earlier)
 
@@ -141,9 +143,9 @@ def audit_log(decisions: DataFrame, table: str = RESERVATIONS) -> DataFrame:
     what = F.when(F.col("karar") == BLOCKED, "Yetkisiz Fiyat Degisiklik Denemesi").otherwise("Admin Fiyat Guncelleme")
     text = F.concat(
         F.lit("Kullanici: "),
-        F.col("role"),
+        F.coalesce("role", F.lit("")),
         F.lit(" | Saat: "),
-        F.date_format("islem_zamani", "yyyy-MM-dd HH:mm:ss"),
+        F.coalesce(F.date_format("islem_zamani", "yyyy-MM-dd HH:mm:ss"), F.lit("")),
         F.lit(" | Islem: "),
         what,
         F.lit(" | Otel: "),

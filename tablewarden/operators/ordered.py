@@ -2,9 +2,10 @@
 
 A plain window puts a whole group into one task. Each operator here first asks,
 with a counted and column-pruned pass, whether any group is above
-``rows_per_task``. If none is, the plain window is used. If some are, only
-those groups are cut into pieces and the pieces are joined by small summaries,
-so the result is the same and no task holds more than a piece.
+``rows_per_task``. If none is, the plain window is used. If some are, those
+groups are cut into pieces of counted rows, and the pieces are joined by small
+summaries, so the result is the same and no task holds more than a piece. A
+null is a group, a day or a place in the order like any other, and comes first.
 """
 
 from __future__ import annotations
@@ -42,38 +43,62 @@ def crowded_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> Da
     return settle(crowded.select(*keys), "crowded")
 
 
-def with_chunk(df: DataFrame, keys: Sequence[str], seq: str, rows_per_task: int) -> tuple[DataFrame, bool]:
-    """Add a chunk number: 0 for ordinary groups, a range of ``seq`` for crowded ones.
+def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, where two nulls are equal."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & left[k].eqNullSafe(right[k])
+    return out
 
-    ``seq`` is a long that is unique within a group, so a range of
-    ``rows_per_task`` values holds at most that many rows of the group.
+
+def with_chunk(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int
+) -> tuple[DataFrame, bool]:
+    """Add a chunk number: 0 for ordinary groups, from 1 on, rising with ``order``, for crowded ones.
+
+    Crowded groups are dealt out by ranges of key and order into twice as many
+    pieces as their rows need; rows that tie go by a hash of the whole row, so
+    a day or a null that has most of the rows is cut as well. The pieces are
+    written, so that every later step sees the same ones.
     """
     crowded = crowded_groups(df, keys, rows_per_task)
     if crowded is None:
         return df.withColumn(CHUNK, F.lit(0).cast("bigint")), False
-    marked = df.join(crowded.withColumn("_crowded", F.lit(True)), list(keys), "left")
-    piece = F.call_function("div", F.col(seq), F.lit(rows_per_task))
-    chunk = F.when(F.col("_crowded"), piece.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    return marked.withColumn(CHUNK, chunk).drop("_crowded"), True
+    ordinary = df.join(crowded, same(df, crowded, keys), "left_anti")
+    full = df.join(crowded, same(df, crowded, keys), "left_semi")
+    pieces = -(-2 * full.count() // rows_per_task)
+    dealt = full.repartitionByRange(int(pieces), *keys, *order, F.xxhash64(*df.columns))
+    dealt = settle(dealt.withColumn(CHUNK, (F.spark_partition_id() + 1).cast("bigint")), "chunks")
+    return ordinary.withColumn(CHUNK, F.lit(0).cast("bigint")).unionByName(dealt), True
 
 
-def position_in_group(
-    df: DataFrame, group: str, seq: str, name: str, rows_per_task: int = ROWS_PER_TASK, descending: bool = False
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows_per_task: int, descending: bool = False
 ) -> DataFrame:
-    """Place of each row in its group, from 1, in order of the unique long ``seq``."""
-    rows, split = with_chunk(df, [group], seq, rows_per_task)
+    """Place of each row in its group, from 1. Rows that tie in ``order`` get places in any order."""
+    rows, split = with_chunk(df, keys, order, rows_per_task)
     ordered = lambda c: F.col(c).desc() if descending else F.col(c).asc()
-    place = F.row_number().over(W.partitionBy(group, CHUNK).orderBy(ordered(seq))).cast("bigint")
+    place = F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(*map(ordered, order))).cast("bigint")
     if not split:
         return rows.withColumn(name, place).drop(CHUNK)
-    before = W.partitionBy(group).orderBy(ordered(CHUNK)).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy(ordered(CHUNK)).rowsBetween(W.unboundedPreceding, -1)
+    # one row for each piece of a group
     offsets = (
-        rows.groupBy(group, CHUNK)
+        rows.groupBy(*keys, CHUNK)
         .agg(F.count("*").alias("_rows"))
-        .select(group, CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select(*keys, CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    placed = rows.join(offsets, [group, CHUNK]).withColumn(name, F.col("_offset") + place)
-    return placed.drop(CHUNK, "_offset")
+    placed = rows.withColumn(name, place)
+    joined = placed.join(offsets, same(placed, offsets, [*keys, CHUNK]))
+    out = [placed[c] for c in df.columns]
+    return joined.select(*out, (F.col("_offset") + F.col(name)).alias(name))
+
+
+def position_in_group(
+    df: DataFrame, group: str, seq: str, name: str, rows_per_task: int = ROWS_PER_TASK, descending: bool = False
+) -> DataFrame:
+    """Place of each row in its group, from 1, in order of ``seq``."""
+    return numbered(df, [group], [seq], name, rows_per_task, descending)
 
 
 def _means(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, spans: Mapping[str, int]) -> DataFrame:
@@ -94,30 +119,20 @@ def moving_means(
     day: str = "trade_date",
     value: str = "close_price",
     ties: Sequence[str] = (),
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Mean of the last ``span`` rows per key, current row included.
 
     The first rows of a key average what exists. ``ties`` orders rows of the
-    same key and day. A day of one key is the smallest piece. Pass None for
-    ``rows_per_task`` when the input is already limited to few rows.
+    same key and day.
     """
-    crowded = crowded_groups(bars, [key], rows_per_task) if rows_per_task else None
+    crowded = crowded_groups(bars, [key], rows_per_task)
     if crowded is None:
         return _means(bars, [key], [day, *ties], value, spans)
 
-    ordinary = _means(bars.join(crowded, key, "left_anti"), [key], [day, *ties], value, spans)
-
-    # position of each row in its key: rows of earlier days + place in the day
-    rows = bars.join(crowded, key, "left_semi")
-    before = W.partitionBy(key).orderBy(day).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(key, day)
-        .agg(F.count("*").alias("_rows"))
-        .select(key, day, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    in_day = W.partitionBy(key, day).orderBy(*(ties or [day]))
-    rows = rows.join(offsets, [key, day]).withColumn("_pos", F.col("_offset") + F.row_number().over(in_day) - 1)
+    ordinary = _means(bars.join(crowded, same(bars, crowded, [key]), "left_anti"), [key], [day, *ties], value, spans)
+    full = bars.join(crowded, same(bars, crowded, [key]), "left_semi")
+    rows = numbered(full, [key], [day, *ties], "_pos", rows_per_task).withColumn("_pos", F.col("_pos") - 1)
 
     # each block also gets the tail of the block before it
     tail = max(spans.values()) - 1

@@ -105,8 +105,7 @@ def moving_averages(bars: DataFrame, symbol: str, rows: int = 100, rows_per_task
     one = bars.where(F.col("symbol") == symbol).select("symbol", "trade_date", "close_price")
     # the first rows need no later ones
     first = one.orderBy("trade_date", "close_price").limit(rows)
-    check = rows_per_task if rows > rows_per_task else None
-    means = moving_means(first, SPANS, ties=["close_price"], rows_per_task=check)
+    means = moving_means(first, SPANS, ties=["close_price"], rows_per_task=rows_per_task)
     return means.select("trade_date", "close_price", *SPANS).orderBy("trade_date", "close_price")
 
 
@@ -175,17 +174,20 @@ def yearly_returns(bars: DataFrame) -> DataFrame:
     """First and last close of each symbol and year and the return in percent.
 
     First and last in a year are taken with a hash aggregate, not a window, so
-    a crowded symbol is reduced in the map tasks.
+    a crowded symbol is reduced in the map tasks. Of several rows of one day the
+    lowest close is the day's first and the highest its last.
     """
     first, last = F.col("yil_basi_fiyat"), F.col("yil_sonu_fiyat")
+    # day and close as one long: a close has at most twelve digits
+    order = F.unix_date("trade_date").cast("bigint") * 2 * 10**12 + units(F.col("close_price"), 4, "bigint")
     return (
         bars.groupBy("symbol", F.year("trade_date").alias("yil"))
         .agg(
-            F.min_by("close_price", "trade_date").alias("yil_basi_fiyat"),
-            F.max_by("close_price", "trade_date").alias("yil_sonu_fiyat"),
+            F.min_by("close_price", order).alias("yil_basi_fiyat"),
+            F.max_by("close_price", order).alias("yil_sonu_fiyat"),
             F.count("*").alias("gun"),
         )
-        .withColumn("getiri", ratio(units(last - first, 4) * 100, units(first, 4), 8))
+        .withColumn("getiri", ratio(units(last - first, 4) * 100, units(first, 4), 8, precision=30))
     )
 
 
@@ -196,7 +198,7 @@ def avg_yearly_return(bars: DataFrame, years: int = 4, rows: int = 15, equal_yea
     year once.
     """
     weight = F.when(F.col("getiri").isNotNull(), F.lit(1) if equal_years else F.col("gun"))
-    total = F.sum((F.col("getiri") * weight.cast("decimal(18,0)")).cast("decimal(38,8)"))
+    total = F.sum((F.col("getiri") * weight.cast("decimal(12,0)")).cast("decimal(38,8)"))
     return (
         yearly_returns(bars)
         .groupBy("symbol")

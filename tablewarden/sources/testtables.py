@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trade_order(order: str, line: str, part: str):
-    """One long that orders the trades of a bar: order, line, then part."""
-    return (F.col(order) * 8 + F.col(line)) * 2**20 + F.col(part) % 2**20
+def trade_order(order: str, line: str, part: str, supplier: str):
+    """One decimal that orders the trades of a bar: order, line, part, then supplier.
+
+    A key with more digits than its place has stops the query. A decimal has a
+    buffer of fixed width, so the aggregates stay hash aggregates.
+    """
+    whole = F.col(order).cast("decimal(14,0)").cast("decimal(38,0)")
+    for name, digits in ((line, 3), (part, 11), (supplier, 10)):
+        step = F.lit(Decimal(10) ** digits).cast(f"decimal({digits + 1},0)")
+        whole = (whole * step + F.col(name).cast(f"decimal({digits},0)")).cast("decimal(38,0)")
+    return whole
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars per brand.
 
-    The order key is a single long, so every aggregate buffer is of fixed width
-    and the partial step stays a hash aggregate. Prices become decimals after
-    the aggregate, once per bar.
+    Prices become decimals after the aggregate, once per bar.
     """
     price = F.col("l_extendedprice")
-    order = trade_order("l_orderkey", "l_linenumber", "l_partkey")
+    order = trade_order("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     out = (

@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from tablewarden.operators.ordered import crowded_groups, moving_means, position_in_group
+from tablewarden.operators.ordered import crowded_groups, moving_means, position_in_group, with_chunk
 from tablewarden.operators.pairs import later_partners, pairs_in_group
 
 SPANS = {"m3": 3, "m5": 5}
@@ -68,3 +68,36 @@ def test_positions_and_partners(spark, rows_per_task):
     pairs = {r.g: r.cift_sayisi for r in pairs_in_group(df, "g", "id").collect()}
     for g in ("x", "y"):
         assert pairs[g] == sum(n for i, n in partners.items() if (g, i) in rows)
+
+
+def _frame(spark, kind):
+    """Crowded frames whose key, day or seq is missing, sparse or all the same."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        key = None if kind == "null key" and i % 2 else "HOT" if i < 160 else "A"
+        day = None if kind == "null day" and i % 10 == 0 else date(2015, 1, 1) + timedelta(days=0 if kind == "one day" else i // 3)
+        seq = None if kind == "null seq" and i % 10 == 0 else i * 10**6 if kind == "sparse" else i
+        rows.append((i, key, day, seq, Decimal(rng.randint(1, 10**6)) / 100))
+    return spark.createDataFrame(rows, "id long, symbol string, trade_date date, seq long, close_price decimal(12,4)")
+
+
+KINDS = ["null key", "null day", "null seq", "sparse", "one day"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_cut_groups_keep_every_row(spark, kind):
+    df = _frame(spark, kind)
+    means = [sorted(moving_means(df, SPANS, ties=["id"], rows_per_task=n).drop("_pos").collect(), key=str) for n in (10**6, 20)]
+    assert len(means[1]) == 200 and means[0] == means[1]
+    places = [position_in_group(df, "symbol", "seq", "place", n).select("symbol", "seq", "place").collect() for n in (10**6, 20)]
+    assert len(places[1]) == 200 and sorted(places[0], key=str) == sorted(places[1], key=str)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_chunks_hold_counted_rows(spark, kind):
+    rows, split = with_chunk(_frame(spark, kind), ["symbol"], ["trade_date", "seq"], 20)
+    assert split
+    sizes = {(r.symbol, r[1]): r[2] for r in rows.groupBy("symbol", "_chunk").count().collect()}
+    assert max(n for (_, chunk), n in sizes.items() if chunk) <= 20
+    assert sum(sizes.values()) == 200
