@@ -47,7 +47,8 @@ def lengths(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Columns with texts above their limit, how many and the longest."""
     aggs = []
     for i, (name, limit) in enumerate(limits.items()):
-        size = F.length(name)
+        # as the loaders: blanks at the end do not count
+        size = F.length(F.rtrim(name))
         aggs += [F.count_if(size > limit).alias(f"violations_{i}"), F.max(size).alias(f"longest_{i}")]
     return _per_column(df.agg(*aggs), list(limits), ["violations", "longest"])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,21 @@ def with_load_time(df: DataFrame, name: str = "created_at", at: Column | None =
     return df.withColumn(name, F.current_timestamp() if at is None else at)
 
 
-def with_surrogate_id(df: DataFrame, name: str = "id") -> DataFrame:
-    """A unique id that may have gaps. Write the result before using it twice."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def with_surrogate_id(df: DataFrame, name: str = "id", start: int = 0) -> DataFrame:
+    """A unique id from ``start`` on that may have gaps. Write the result before using it twice."""
+    return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start).cast("bigint"))
+
+
+def next_id(spark: SparkSession, path: str, name: str = "id", before_batch: int | None = None) -> int:
+    """The first id above those stored in a folder of Parquet files; 0 if there is none.
+
+    ``before_batch`` looks only at folders ``batch=n`` with a smaller number.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    stored = spark.read.schema(f"{name} bigint" + (", batch bigint" if before_batch is not None else "")).parquet(path)
+    if before_batch is not None:
+        stored = stored.where(F.col("batch") < before_batch)
+    largest = stored.agg(F.max(name)).first()[0]
+    return 0 if largest is None else largest + 1

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.text import as_date, as_int, as_number, cut, null_words, number_fault, too_long
-from tablewarden.operators.derived import with_surrogate_id
+from tablewarden.operators.derived import next_id, with_surrogate_id
 from tablewarden.schemas import BOOKING_COLUMNS, SENTINEL_COLUMNS
 
+# a quote inside quotes is doubled; a backslash is a letter like any other
+QUOTES = {"escape": '"'}
 ROW, COUNT, _BAD, _MARK = "_row", "_n", "_bad", "\u0001"
 GOOD, REJECTED = "good", "rejected"
 
@@ -22,7 +24,7 @@ def _split(line: Column, names: list[str]) -> Column:
     A mark is put behind the line; its place tells how many fields there were.
     """
     schema = ", ".join(f"`{n}` string" for n in [*names, _MARK + "end"])
-    return F.from_csv(F.concat(line, F.lit("," + _MARK)), schema)
+    return F.from_csv(F.concat(line, F.lit("," + _MARK)), schema, QUOTES)
 
 
 def _count_fields(row: Column, names: list[str]) -> Column:
@@ -44,24 +46,24 @@ def _present(name: str, place: int) -> Column:
     return F.when(F.col(COUNT) > place, F.coalesce(F.col(ROW)[name], F.lit("")))
 
 
-def read_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def open_quote(line: Column) -> Column:
+    """Whether a line has an odd number of quotes, so that a quoted text goes on beyond it."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def read_strings(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Rows as a struct of texts in table order, and the number of fields present.
 
     Columns are matched by header name. Only the header is read for the names;
-    no pass infers types.
+    no pass infers types. With ``multi_line`` a quoted text may hold line
+    breaks, but then a file is read by one task; without it a line that ends
+    within a quoted text has no fields and becomes a reject.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    names = spark.read.options(header=True, multiLine=multi_line, **QUOTES).csv(path).columns
     missing = [c for c in BOOKING_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"columns missing in the file: {', '.join(missing)}")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
-    # every file must have the same header; one with another order stops the load
-    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": _BAD}
-    rows = spark.read.schema(schema).options(**options).csv(path)
-    # only lines with a wrong number of fields are parsed a second time
-    recounted = F.transform(F.array(_split(F.col(_BAD), names)), lambda row: _count_fields(row, names))[0]
-    count = F.when(F.col(_BAD).isNull(), len(names)).otherwise(recounted)
-    rows = _once(rows.select(F.struct(*names).alias(ROW), count.alias("_c")), COUNT, F.col("_c")).drop("_c")
+    rows = _whole_records(spark, path, names) if multi_line else _lines(spark, path, names)
     if names[: len(BOOKING_COLUMNS)] == list(BOOKING_COLUMNS):
         return rows
     # another column order: settle absent fields here
@@ -69,13 +71,41 @@ def read_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(by_name.alias(ROW), F.lit(len(names)).alias(COUNT))
 
 
-def strings_from_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """The same from a column of lines in table order; other columns are kept."""
-    names = list(BOOKING_COLUMNS)
-    rows = _once(lines, ROW, _split(F.col(line), names)).drop(line)
+def _whole_records(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
+    # every file must have the same header; one with another order stops the load
+    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": _BAD, "multiLine": True}
+    rows = spark.read.schema(schema).options(**options, **QUOTES).csv(path)
+    # only records with a wrong number of fields are parsed a second time
+    recounted = F.transform(F.array(_split(F.col(_BAD), names)), lambda row: _count_fields(row, names))[0]
+    count = F.when(F.col(_BAD).isNull(), len(names)).otherwise(recounted)
+    return _once(rows.select(F.struct(*names).alias(ROW), count.alias("_c")), COUNT, F.col("_c")).drop("_c")
+
+
+def _lines(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
+    """Every line but the headers; a header with the same names in another order stops the load."""
+    rows = strings_from_lines(spark.read.text(path).where("value <> ''"), "value", names)
+    first = F.col(ROW)[names[0]]
+    texts = F.array(*[F.col(ROW)[n] for n in names])
+    wanted = F.array(*[F.lit(n) for n in names])
+    # only a line whose first field is a column name can be a header
+    is_name = first.isin(*names)
+    other = is_name & (texts != wanted) & (F.array_sort(texts) == F.array_sort(wanted))
+    stop = F.raise_error(F.lit("a file has its header in another order")).cast("boolean")
+    header = F.when(other, stop).otherwise(F.coalesce(is_name & (texts == wanted), F.lit(False)))
+    # as a column of its own the filter stays a plain one
+    return _once(rows, "_header", header).where(~F.col("_header")).drop("_header")
+
+
+def strings_from_lines(lines: DataFrame, line: str = "line", names: list[str] | None = None) -> DataFrame:
+    """The same from a column of lines, by default in table order; other columns are kept."""
+    names = names or list(BOOKING_COLUMNS)
+    marked = lines.withColumn("_open", open_quote(F.col(line)))
+    rows = _once(marked, ROW, _split(F.when(~F.col("_open"), F.col(line)), names)).drop(line)
     recounted = F.transform(F.array(F.col(ROW)), lambda row: _count_fields(row, names))[0]
     whole = F.col(ROW)[_MARK + "end"] == _MARK
-    return _once(rows, COUNT, F.when(whole, len(names)).otherwise(recounted))
+    count = F.when(F.col("_open"), 0).when(whole, len(names)).otherwise(recounted)
+    return _once(rows, COUNT, count).drop("_open")
 
 
 def _parts(kind: str) -> tuple[str, list[int]]:
@@ -130,12 +160,17 @@ def typed(strings: DataFrame) -> DataFrame:
     return rows.select(*kept, *columns, reason.alias("reason"))
 
 
-def load(spark: SparkSession, path: str | list[str], out: str, mode: str = "overwrite") -> None:
+def load(
+    spark: SparkSession, path: str | list[str], out: str, mode: str = "overwrite", multi_line: bool = False
+) -> None:
     """Read, type and write files in one pass, good and rejected rows in their own folders.
 
-    The id is given here and stored, so every later step sees the same one.
+    The id is given here and stored, so every later step sees the same one. An
+    appended load goes on after the largest id that is stored; two loads into
+    one folder must not run at the same time.
     """
-    rows = with_surrogate_id(typed(read_strings(spark, path)))
+    start = next_id(spark, out) if mode == "append" else 0
+    rows = with_surrogate_id(typed(read_strings(spark, path, multi_line)), start=start)
     status = F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED)
     writer = rows.withColumn("status", status).write.mode(mode).partitionBy("status")
     # an overwrite replaces both folders, also when one gets no rows

@@ -1,3 +1,4 @@
+import csv
 from datetime import date
 from decimal import Decimal
 
@@ -5,7 +6,7 @@ import pytest
 
 from tablewarden.operators import normalise
 from tablewarden.schemas import BOOKING_COLUMNS, DROPPED_COLUMNS, GUEST_COLUMNS
-from tablewarden.sources import bookings
+from tablewarden.sources import bars_csv, bookings
 
 # one good row, by column
 GOOD = dict(
@@ -150,3 +151,53 @@ def test_normalise(spark, tmp_path):
     assert guests.columns == ["musteri_id", "ulke", "musteri_tipi", "tekrar_misafir", "kredi_karti"]
     assert len(stays.columns) == 2 + len(BOOKING_COLUMNS) - len(GUEST_COLUMNS) - len(DROPPED_COLUMNS) == 29
     assert "Exchange" not in stays._jdf.queryExecution().executedPlan().toString()
+
+
+TEXTS = ['say "hi", you', "q", '"q"', "a, b\\", "back\\slash", 'one " quote']
+
+
+def _python_csv(path, rows):
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        csv.writer(f, lineterminator="\n").writerows(rows)
+
+
+def test_quoted_texts_are_those_of_python(spark, tmp_path):
+    names = list(BOOKING_COLUMNS)
+    rows = [list(_line(hotel=t).values()) for t in TEXTS]
+    _python_csv(tmp_path / "in.csv", [names, *rows])
+    lines = spark.read.text(str(tmp_path / "in.csv")).where("not value like 'hotel,%'").toDF("line")
+    broken = [list(_line(hotel="two\nlines").values())]
+    _python_csv(tmp_path / "broken.csv", [names, *rows, *broken])
+    for strings, want in (
+        (bookings.read_strings(spark, str(tmp_path / "in.csv")), TEXTS),
+        (bookings.strings_from_lines(lines), TEXTS),
+        (bookings.read_strings(spark, str(tmp_path / "broken.csv"), multi_line=True), [*TEXTS, "two\nlines"]),
+    ):
+        typed = bookings.typed(strings).collect()
+        assert sorted(r.hotel for r in typed) == sorted(want) and not any(r.reason for r in typed)
+    cut = bookings.typed(bookings.read_strings(spark, str(tmp_path / "broken.csv"))).collect()
+    assert sorted(r.hotel for r in cut if not r.reason) == sorted(TEXTS)
+    assert sum(1 for r in cut if r.reason) == 2
+
+
+def test_quoted_bars(spark, tmp_path):
+    head = ["date", "open", "high", "low", "close", "volume", "Name"]
+    row = ["2013-02-08", "1", "2", "1", "2", "5"]
+    symbols = ['A"B', "A,B", "A\\", "AB"]
+    _python_csv(tmp_path / "in.csv", [head, *[[*row, s] for s in symbols]])
+    path = str(tmp_path / "in.csv")
+    lines = bars_csv.raw_lines(spark.read, path)
+    for bars in (bars_csv.read_bars(spark, path), bars_csv.read_bars(spark, path, multi_line=True), bars_csv.bars_from_lines(lines)):
+        assert sorted(r.symbol for r in bars.collect()) == sorted(symbols)
+    (tmp_path / "open.csv").write_text(",".join(head) + "\n" + ",".join(row) + ',"AB\n')
+    with pytest.raises(Exception, match="quoted"):
+        bars_csv.read_bars(spark, str(tmp_path / "open.csv")).collect()
+
+
+def test_ids_go_on_over_appended_loads(spark, tmp_path):
+    _write(tmp_path / "in.csv", [GOOD, _line(adr="2")])
+    out = str(tmp_path / "out")
+    for _ in range(3):
+        bookings.load(spark, str(tmp_path / "in.csv"), out, mode="append")
+    assert [r.id for r in spark.read.parquet(out).orderBy("id").collect()] == sorted({r.id for r in spark.read.parquet(out).collect()})
+    assert spark.read.parquet(out).select("id").distinct().count() == 6

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 
 from tablewarden.operators.audit import PriceGuard, audit_log
+from tablewarden.sources import bars_csv
 from tablewarden.streaming import bars_stream
 from tablewarden.streaming.price_stream import CHANGE_SCHEMA, PriceStore, guard_stream, without_repeats
 
@@ -43,7 +44,9 @@ def test_stream_equals_batch_with_replay_and_compaction(spark, tmp_path, broadca
     stream = spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
     store = PriceStore(spark, str(tmp_path / "store"), broadcast_keys)
     store.start(base)
-    guard_stream(stream, store, guard, str(tmp_path / "check")).awaitTermination(120)
+    guard_stream(stream, store, guard, str(tmp_path / "check"), compact_every=2).awaitTermination(180)
+    plan = store.prices(keys=everything.select("rezervasyon_id"), buckets=[1])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan or "(bucket#" in plan
 
     assert _rows(store.audit()) == _rows(audit_log(guard.decide(everything, base)))
     assert _rows(store.prices()) == _rows(guard.prices_after(everything, base))
@@ -90,13 +93,17 @@ def test_bar_files_are_checked_and_appended_by_year(spark, tmp_path):
     run()
     run()  # nothing new, nothing twice
     good = spark.read.parquet(out)
+    bars_csv.load(spark, str(source / "1.csv"), str(tmp_path / "loaded"))
+    kinds = lambda df: sorted(df.dtypes)
+    assert kinds(bars_stream.streamed_bars(spark, out)) == kinds(spark.read.parquet(str(tmp_path / "loaded")))
+    assert good.select("id").distinct().count() == 3
     assert sorted((str(r.trade_date), r.trade_year) for r in good.collect()) == [
         ("2013-02-08", 2013),
         ("2014-01-02", 2014),
         ("2018-12-31", 2018),
     ]
     assert good.where("trade_year = 2013").first().daily_change == Decimal("-0.3200")
-    reasons = sorted(r.reason for r in spark.read.parquet(bad).collect())
+    reasons = sorted(r.reason for r in spark.read.parquet(bad).select("reason").collect())
     assert reasons == [
         "open_price: missing or malformed; symbol: missing or malformed",
         "trade_date: missing or malformed",
