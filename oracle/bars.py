@@ -100,6 +100,7 @@ from bars
 
 SQL = {
     "ingest_bars": _FULL,
+    "ingest_bar_files": _FULL,
     "bar_derived": f"with {BARS} select symbol, {day('trade_date')} as trade_date, {_dbl('daily_change', 'daily_range')} from bars",
     "bars_range_scan": f"""
 with {BARS}

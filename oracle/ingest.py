@@ -54,6 +54,11 @@ u as (
 
 SQL = {
     "ingest_bookings": f"with {BOOKINGS} select * from good",
+    "ingest_booking_files": f"with {BOOKINGS} select * exclude (id) from good",
+    "appended_loads": f"""
+with {BOOKINGS}
+select unnest(['kayit', 'numara', 'eslesme']) as ad, 2 * count(*) as sayi from good
+""",
     "ingest_rejects": f"""
 with {BOOKINGS} select reason, count(*) as hata_sayisi from reasoned where reason is not null group by 1
 """,
@@ -86,12 +91,11 @@ with {UNCHECKED} select id, {day("trade_date")} as trade_date, count(*) as copie
 """,
     "check_fk": f"""
 with {UNCHECKED}
-select part_id, count(*) as orphans from u where not exists (select 1 from part where p_partkey = part_id and p_size > 5)
-group by 1
+select part_id + 1000000000000 as part_id, count(*) as orphans from u where id % 37 = 0 group by 1
 """,
     "check_length": f"""
 with {UNCHECKED}
-select 'symbol' as column_name, count_if(length(symbol) > 10) as violations, cast(max(length(symbol)) as int) as longest from u
+select 'symbol' as column_name, count_if(length(rtrim(symbol)) > 10) as violations, cast(max(length(rtrim(symbol))) as int) as longest from u
 """,
     "check_numeric": f"""
 with {UNCHECKED}
