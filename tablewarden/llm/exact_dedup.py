@@ -11,8 +11,8 @@ and a run with the bytes it covers is a segment.
 3. The different segments of a key are dealt to shards and sorted by induced
    suffix sorting (``suffix_sort``): a place that shares ``LENGTH`` bytes with a
    neighbour in suffix order is a repeat. A key with very many different
-   segments is not put into one shard: its strings are counted one by one over
-   the whole cluster.
+   segments is not put into one shard: they are cut again under longer anchors,
+   and what is left is counted over the whole cluster.
 4. The repeats go back to the texts as byte ranges.
 """
 
@@ -33,8 +33,8 @@ from tablewarden.llm.suffix_sort import repeated_places
 LENGTH = 400
 ANCHOR = 200
 #: Bytes of segments that are sorted at once.
-SHARD_BYTES = 4 << 20
-#: Different segments of one key that are sorted together; beyond it strings are counted one by one.
+SHARD_BYTES = 2 << 20
+#: Different segments of one key that are sorted together; beyond it they are cut again and counted.
 SEGMENTS_OF_KEY = 200
 #: Strings of a text that are looked at together.
 BLOCK = 1 << 20
@@ -214,31 +214,76 @@ def _sorted_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFr
     return dealt.mapInArrow(sort, SPAN_SCHEMA)
 
 
-def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
-    """Repeats among the segments of crowded keys: every string by itself, counted over the cluster."""
+def _fine_runs(segments: DataFrame, length: int, anchor: int) -> DataFrame:
+    """The segments of crowded keys, cut again into runs under longer anchors."""
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, segment, wide, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                fine, lo, hi, inner = runs_of(data, length, anchor)
+                view = memoryview(data)
+                sh = [xxhash.xxh3_64_intdigest(view[a : b + length]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                n = len(fine)
+                columns = [np.full(n, key), np.full(n, segment), np.full(n, wide, np.int32), lo.astype(np.int32)]
+                columns += [(hi - lo).astype(np.int32), fine.view(np.int64), np.array(sh, np.uint64).view(np.int64), inner]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns],
+                    names=["key", "segment", "wide", "lo", "fine_wide", "fine_key", "fine_segment", "inner"],
+                )
+
+    return segments.select("key", "segment", "wide", "bytes").mapInArrow(
+        find, "key long, segment long, wide int, lo int, fine_wide int, fine_key long, fine_segment long, inner boolean"
+    )
+
+
+def _string_hashes(pieces: DataFrame, length: int) -> DataFrame:
+    """Every string of the pieces by itself."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, segment, wide, lo, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 view = memoryview(data)
-                h = [xxhash.xxh3_128_intdigest(view[i : i + length]) for i in range(wide + 1)]
+                h = [xxhash.xxh3_128_intdigest(view[i : i + length]) for i in range(lo, lo + wide + 1)]
                 n = len(h)
-                columns = [
-                    pa.array(np.full(n, key)),
-                    pa.array(np.full(n, segment)),
-                    pa.array(np.full(n, wide, np.int32)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(np.array([x >> 64 for x in h], np.uint64).view(np.int64)),
-                    pa.array(np.array([x & (2**64 - 1) for x in h], np.uint64).view(np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "segment", "wide", "first", "a", "b"])
-
-    every = segments.select("key", "segment", "wide", "bytes").mapInArrow(
-        strings, "key long, segment long, wide int, first int, a long, b long"
+                columns = [np.full(n, key), np.full(n, segment), np.full(n, wide, np.int32), np.arange(n, dtype=np.int32)]
+                columns += [np.array([x >> 64 for x in h], np.uint64).view(np.int64)]
+                columns += [np.array([x & (2**64 - 1) for x in h], np.uint64).view(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["fine_key", "fine_segment", "fine_wide", "first", "a", "b"]
+                )
+
+    schema = "fine_key long, fine_segment long, fine_wide int, first int, a long, b long"
+    return pieces.select("fine_key", "fine_segment", "fine_wide", "lo", "bytes").mapInArrow(strings, schema)
+
+
+def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
+    """Repeats among the segments of crowded keys.
+
+    They are cut again under anchors nearly as long as the strings, which parts
+    what differs and lets equal runs fall together as rows with a count. The
+    strings of the few runs that are left are counted one by one.
+    """
+    whole = ["fine_key", "fine_segment", "fine_wide"]
+    runs = saved(_fine_runs(segments, length, length - max(1, length // 20)), "fine-runs")
+    place = F.struct("key", "segment", "lo").alias("at")
+    pieces = runs.groupBy(*whole).agg(F.count("*").alias("copies"), F.min(place).alias("at"), F.max("inner").alias("inner"))
+    pieces = saved(pieces, "fine-pieces")
+    single = (F.col("copies") == 1).cast("long")
+    groups = pieces.groupBy("fine_key").agg(
+        F.count("*").alias("different"), F.sum(single).alias("single"), F.max(F.expr("copies = 1 and inner")).alias("inner")
     )
-    every = saved(every, "strings")
+    groups = saved(groups.where("single > 0 and (different > 1 or inner)").select("fine_key"), "fine-groups")
+    rest = pieces.join(groups, "fine_key").select(*whole, "at.*")
+    rest = rest.join(segments.select("key", "segment", "bytes"), ["key", "segment"])
+    every = saved(_string_hashes(rest, length), "strings")
     often = saved(every.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "often")
-    return every.join(often, ["a", "b"]).select("key", "segment", "wide", "first", F.col("first").alias("last"))
+    some = every.join(often, ["a", "b"]).select(*whole, F.col("first"), F.col("first").alias("last"))
+    full = pieces.where("copies > 1").select(*whole, F.lit(0).alias("first"), F.col("fine_wide").alias("last"))
+    found = saved(full.unionAll(some), "fine-repeats")
+    back = runs.join(found, whole)
+    return back.select(
+        "key", "segment", "wide", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last")
+    )
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
