@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import doc_texts, with_fields
+from tablewarden.llm.common import doc_texts, ship_package, with_fields
 
 FOLDS = 5
 #: Labelled documents that the space is fitted on and that vote, at most.
@@ -166,6 +166,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` and ``__score`` of every whole text; a null text counts as empty."""
+    ship_package(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

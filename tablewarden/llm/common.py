@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import weakref
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +17,30 @@ from pyspark.sql import types as T
 from tablewarden.session import scratch_dir
 
 
+def ship_package(df: DataFrame) -> DataFrame:
+    """Gives the package to the Python workers, once a session; returns ``df``."""
+    context = df.sparkSession.sparkContext
+    if context not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        name = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+        with zipfile.ZipFile(name, "w") as package:
+            for file in sorted(root.rglob("*.py")):
+                package.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(name))
+        _shipped.add(context)
+    return df
+
+
+_shipped: weakref.WeakSet = weakref.WeakSet()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def doc_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole text; a null text counts as empty."""
+    ship_package(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
@@ -31,7 +53,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``df`` with more fields behind it."""
-    more = [T.StructField(name, T.LongType() if kind == "long" else T.DoubleType()) for name, kind in kinds.items()]
+    types = {"long": T.LongType(), "double": T.DoubleType()}
+    more = [T.StructField(name, types[kind]) for name, kind in kinds.items()]
     return T.StructType([*df.schema.fields, *more])
 
 

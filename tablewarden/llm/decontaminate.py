@@ -14,7 +14,7 @@ between words.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import by_slices, doc_texts
+from tablewarden.llm.common import by_slices, doc_texts, ship_package
 
 #: Edits allowed, as a share of an item's characters.
 EDIT_SHARE = 0.1
@@ -182,10 +182,6 @@ def _passes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[It
         yield ItemIndex(sorted((r.item_id if r.item_id is not None else -1, r.text) for r in rows.collect()))
 
 
-def _scan(index: ItemIndex, docs: DataFrame) -> Callable:
-    return docs.sparkSession.sparkContext.broadcast(index)
-
-
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``edits`` and ``end`` for every item that a whole text holds.
 
@@ -196,7 +192,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     found = None
     for index in _passes(benchmark):
-        shared = _scan(index, docs)
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def rows(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             hits = shared.value.matches(batch.column(1).to_pylist())
@@ -213,9 +209,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, all columns unchanged."""
-    at = docs.columns.index("text")
+    at = ship_package(docs).columns.index("text")
     for index in _passes(benchmark):
-        shared = _scan(index, docs)
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             hits = shared.value.matches([t or "" for t in batch.column(at).to_pylist()])

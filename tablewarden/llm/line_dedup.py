@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import by_slices, with_fields
+from tablewarden.llm.common import by_slices, ship_package, with_fields
 
 LINES = 3
 BLANK = " \t\n\x0b\x0c\r"
@@ -24,7 +24,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
     A missing ``doc_id`` comes last in the order.
     """
-    return docs.withColumns(
+    return ship_package(docs).withColumns(
         {
             "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)),
             "__hash": F.xxhash64(F.coalesce("text", F.lit(""))),
