@@ -16,10 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    texts = set(entry_points.text_queries.queries()) if entry_points.text_queries else set()
+    # what SQL can't express is held against brute force in the tests of the text operators
+    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) <= texts
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.queries()))
+@pytest.mark.parametrize("key", sorted(entry_points.oracle_sql()))
 def test_query(spark, con, key):
     assert difference(entry_points.queries()[key](spark, SF_DIR), con, entry_points.oracle_sql()[key]) is None
 
