@@ -160,8 +160,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     # one text for an id, should it stand in several rows
     rows = counted.groupBy("doc_id").agg(F.min("counts").alias("counts"), F.first("quality").alias("quality"))
     found = sorted(rows.collect(), key=lambda r: r.doc_id)
-    counts = [np.frombuffer(r.counts, np.float32) for r in found]
-    return np.stack([*counts, np.zeros(TERMS, np.float32)])[:-1], np.array([r.quality for r in found], np.int64)
+    labels = np.array([r.quality for r in found], np.int64)
+    counts = np.empty((len(found), TERMS), np.float32)
+    for k in range(len(found) - 1, -1, -1):
+        counts[k] = np.frombuffer(found.pop().counts, np.float32)
+    return counts, labels
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
