@@ -16,7 +16,18 @@ from pyspark.sql import functions as F
 from tablewarden.functions.exact import ratio, units
 from tablewarden.operators.ordered import CHUNK, with_chunk
 from tablewarden.operators.policy import role_guard, row_guard
-from tablewarden.schemas import BLOCKED_ROLES, GRANTS, LOGGED_ROLES, POLICIES, RESERVATIONS, Grant, Policy
+from tablewarden.schemas import (
+    BLOCKED_ROLES,
+    BLOCKED_TEXT,
+    GRANTS,
+    LOG_PARTS,
+    LOGGED_ROLES,
+    LOGGED_TEXT,
+    POLICIES,
+    RESERVATIONS,
+    Grant,
+    Policy,
+)
 from tablewarden.session import ROWS_PER_TASK
 
 KEY = "rezervasyon_id"
@@ -140,17 +151,18 @@ class PriceGuard:
 
 def audit_log(decisions: DataFrame, table: str = RESERVATIONS) -> DataFrame:
     """Log rows of blocked attempts and logged changes."""
-    what = F.when(F.col("karar") == BLOCKED, "Yetkisiz Fiyat Degisiklik Denemesi").otherwise("Admin Fiyat Guncelleme")
+    what = F.when(F.col("karar") == BLOCKED, BLOCKED_TEXT).otherwise(LOGGED_TEXT)
+    user, at, action, hotel, change = map(F.lit, LOG_PARTS)
     text = F.concat(
-        F.lit("Kullanici: "),
+        user,
         F.coalesce("role", F.lit("")),
-        F.lit(" | Saat: "),
+        at,
         F.coalesce(F.date_format("islem_zamani", "yyyy-MM-dd HH:mm:ss"), F.lit("")),
-        F.lit(" | Islem: "),
+        action,
         what,
-        F.lit(" | Otel: "),
+        hotel,
         F.coalesce("hotel", F.lit("")),
-        F.lit(" | Degisim: %"),
+        change,
         F.coalesce(F.col("degisim").cast("string"), F.lit("")),
     )
     return decisions.where(F.col("karar").isin(BLOCKED, ALLOWED)).select(

@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.operators.ordered import position_in_group
+from tablewarden.schemas import PAIR_WARNING
 from tablewarden.session import ROWS_PER_TASK
 
-WARNING = "Indeks_1 Indeks_2 ile kapsaniyor olabilir"
-
 
 def pairs_in_group(df: DataFrame, group: str, id_column: str) -> DataFrame:
     """Members and pairs of every group with at least two members."""
@@ -26,7 +25,7 @@ def pairs_in_group(df: DataFrame, group: str, id_column: str) -> DataFrame:
         .agg(F.count("*").alias("uye_sayisi"), F.min(id_column).alias("ilk_uye"), F.max(id_column).alias("son_uye"))
         .where(n > 1)
         .withColumn("cift_sayisi", pairs.cast("bigint"))
-        .withColumn("uyari", F.lit(WARNING))
+        .withColumn("uyari", F.lit(PAIR_WARNING))
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.functions.exact import mean, ratio, units
+from tablewarden.schemas import NEVER_USED, OFTEN_USED, SELDOM_USED, UNUSED_STATE, USED_STATE
 
 
 def _statements(log: DataFrame, pattern: str) -> DataFrame:
@@ -102,13 +103,13 @@ def usage_bands(known: DataFrame, key: str, uses: DataFrame) -> DataFrame:
     counts = uses.groupBy(key).agg(F.count("*").alias("_n"))
     n = F.coalesce("_n", F.lit(0))
     advice = (
-        F.when(n == 0, "KALDIR - Hic kullanilmamis")
-        .when(n < 10, "GOZDEN GECIR - Az kullaniliyor")
-        .otherwise("Aktif - Koru")
+        F.when(n == 0, NEVER_USED)
+        .when(n < 10, SELDOM_USED)
+        .otherwise(OFTEN_USED)
     )
     return known.select(key).join(counts, key, "left").select(
         key,
         n.alias("kullanim_sayisi"),
         advice.alias("oneri"),
-        F.when(n == 0, "KULLANIMIYOR - Kaldir!").otherwise("Aktif").alias("durum"),
+        F.when(n == 0, UNUSED_STATE).otherwise(USED_STATE).alias("durum"),
     )

@@ -63,6 +63,12 @@ BARS = T.StructType(
         T.StructField("symbol", T.StringType(), False, {"max_length": 10}),
     ]
 )
+# Texts that reports and tables show.
+BLOCKED_TEXT, LOGGED_TEXT = "Yetkisiz Fiyat Degisiklik Denemesi", "Admin Fiyat Guncelleme"
+LOG_PARTS = ("Kullanici: ", " | Saat: ", " | Islem: ", " | Otel: ", " | Degisim: %")
+NEVER_USED, SELDOM_USED, OFTEN_USED = "KALDIR - Hic kullanilmamis", "GOZDEN GECIR - Az kullaniliyor", "Aktif - Koru"
+UNUSED_STATE, USED_STATE = "KULLANIMIYOR - Kaldir!", "Aktif"
+PAIR_WARNING = "Indeks_1 Indeks_2 ile kapsaniyor olabilir"
 BARS_COMMENT = "S&P 500 hisse senedi fiyat verileri (2013-2018)"
 # Years with a partition; a day outside is a violation.
 BAR_YEARS = (2013, 2018)
