@@ -30,8 +30,13 @@ def ratio(numerator: Column, denominator: Column, digits: int, kind: str = _WIDE
     # a zero divisor must not be evaluated under ANSI
     size = F.nullif(F.abs(den), F.lit(0).cast(kind))
     factor = F.lit(2 * 10**digits).cast("bigint" if kind == "bigint" else "decimal(18,0)")
-    doubled = F.abs(num) * factor + size
-    rounded = F.call_function("div", doubled.cast(kind), (size * F.lit(2)).cast(kind))
+    # a whole quotient is a bigint: for results beyond that the whole part is taken apart
+    wide = precision > 18
+    rest = (F.abs(num) % size).cast(kind) if wide else F.abs(num)
+    rounded = F.call_function("div", (rest * factor + size).cast(kind), (size * F.lit(2)).cast(kind))
+    if wide:
+        whole = F.call_function("div", F.abs(num), size).cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(18,0)")
+        rounded = (whole + rounded.cast("decimal(20,0)")).cast(_WIDE)
     negative = (num < F.lit(0)) != (den < F.lit(0))
     whole = F.when(negative, -rounded).otherwise(rounded).cast(f"decimal({precision},0)")
     return (whole * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal({precision},{digits})")

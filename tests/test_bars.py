@@ -2,6 +2,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewarden.operators.derived import with_bar_columns, with_load_time
 from tablewarden.plans import bars as B
@@ -150,3 +151,16 @@ def test_plans_push_filters_and_limit_early(spark):
     assert "WindowGroupLimit" in movers and "Partial" in movers and "TakeOrderedAndProject" in movers
     assert "SortAggregate" not in plan(B.avg_yearly_return(bars))
     assert "TakeOrderedAndProject" in plan(B.top_volume(bars))
+
+
+def test_repeated_days_and_wide_returns(spark):
+    """Of one day's rows the lowest close comes first, the highest last; a return may be very large."""
+    rows = [("A", date(2015, 1, 2), p) for p in ("30", "10", "20")] + [("A", date(2015, 12, 30), p) for p in ("40", "50")]
+    rows += [("B", date(2015, 1, 2), "0.0001"), ("B", date(2015, 12, 30), "99999999")]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "symbol string, trade_date date, p string")
+        df = df.withColumn("close_price", F.col("p").cast("decimal(12,4)"))
+        got = {r.symbol: (r.yil_basi_fiyat, r.yil_sonu_fiyat, r.getiri) for r in B.yearly_returns(df).collect()}
+        assert got["A"] == (Decimal("10"), Decimal("50"), Decimal("400"))
+        assert got["B"][2] == Decimal("99999998999900")
+        assert B.avg_yearly_return(df, years=1).count() == 2
