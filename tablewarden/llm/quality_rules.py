@@ -38,7 +38,7 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.5, 12.0),
     Rule("symbols_per_word", "n_symbols", "n_words", most=0.1),
     Rule("stop_words", "n_stop_words", "n_words", least=0.04),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=0.3),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=0.5),
 )
 
 
