@@ -92,18 +92,20 @@ class Model:
     prior: float
 
     def weights(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        x = np.log1p(counts)
+        x *= self.idf
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-9)
+        return x
 
-    def project(self, counts: np.ndarray) -> np.ndarray:
-        z = self.weights(counts) @ self.basis
+    def project(self, weights: np.ndarray) -> np.ndarray:
+        z = weights @ self.basis
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Between 0 and 1; without labelled documents or words the prior."""
         if not len(self.labels):
             return np.full(len(counts), self.prior)
-        cosine = self.project(counts) @ self.vectors.T
+        cosine = self.project(self.weights(counts)) @ self.vectors.T
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         similarity = np.clip(np.take_along_axis(cosine, near, axis=1), 0, None).astype(np.float64) ** 4
@@ -130,7 +132,7 @@ def fit_model(counts: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
         q, _ = np.linalg.qr(x.T @ (x @ q))
     _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
     model.basis = np.ascontiguousarray((q @ vt.T)[:, :k], np.float32)
-    model.vectors = model.project(counts).astype(np.float32)
+    model.vectors = model.project(x).astype(np.float32)
     return model
 
 
