@@ -214,6 +214,9 @@ def _sorted_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFr
     return dealt.mapInArrow(sort, SPAN_SCHEMA)
 
 
+PIECE = ["key", "segment", "wide"]
+
+
 def _fine_runs(segments: DataFrame, length: int, anchor: int) -> DataFrame:
     """The segments of crowded keys, cut again into runs under longer anchors."""
 
@@ -260,8 +263,9 @@ def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
     """Repeats among the segments of crowded keys.
 
     They are cut again under anchors nearly as long as the strings, which parts
-    what differs and lets equal runs fall together as rows with a count. The
-    strings of the few runs that are left are counted one by one.
+    what differs and lets equal runs fall together as rows with a count. What is
+    left is sorted like other segments; only where a key is crowded even then
+    are its strings counted one by one.
     """
     whole = ["fine_key", "fine_segment", "fine_wide"]
     runs = saved(_fine_runs(segments, length, length - max(1, length // 20)), "fine-runs")
@@ -272,12 +276,19 @@ def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
     groups = pieces.groupBy("fine_key").agg(
         F.count("*").alias("different"), F.sum(single).alias("single"), F.max(F.expr("copies = 1 and inner")).alias("inner")
     )
-    groups = saved(groups.where("single > 0 and (different > 1 or inner)").select("fine_key"), "fine-groups")
-    rest = pieces.join(groups, "fine_key").select(*whole, "at.*")
+    groups = groups.where("single > 0 and (different > 1 or inner)")
+    crowded = (F.col("different") > SEGMENTS_OF_KEY).alias("crowded")
+    groups = saved(groups.select("fine_key", crowded), "fine-groups")
+    rest = pieces.join(groups, "fine_key").select(*whole, "at.*", "crowded")
     rest = rest.join(segments.select("key", "segment", "bytes"), ["key", "segment"])
-    every = saved(_string_hashes(rest, length), "strings")
+    data = F.expr(f"substring(bytes, lo + 1, fine_wide + {length})").alias("bytes")
+    rest = saved(rest.select(*whole, "crowded", F.lit(0).alias("lo"), data), "fine-texts")
+    as_segments = rest.where("not crowded").select(*[F.col(w).alias(n) for w, n in zip(whole, PIECE, strict=True)], "bytes")
+    by_order = _sorted_shards(as_segments, length, SHARD_BYTES)
+    by_order = by_order.select(*[F.col(n).alias(w) for w, n in zip(whole, PIECE, strict=True)], "first", "last")
+    every = saved(_string_hashes(rest.where("crowded"), length), "strings")
     often = saved(every.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "often")
-    some = every.join(often, ["a", "b"]).select(*whole, F.col("first"), F.col("first").alias("last"))
+    some = every.join(often, ["a", "b"]).select(*whole, F.col("first"), F.col("first").alias("last")).unionAll(by_order)
     full = pieces.where("copies > 1").select(*whole, F.lit(0).alias("first"), F.col("fine_wide").alias("last"))
     found = saved(full.unionAll(some), "fine-repeats")
     back = runs.join(found, whole)
