@@ -32,15 +32,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """Every window: the row's key, two hashes, and the numbers of its lines."""
+def windows(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> DataFrame:
+    """Every window: the row's key, two hashes, and the numbers of its lines.
+
+    With ``short_texts`` a text of fewer lines is one window.
+    """
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, hashes, a, b, at = [], [], [], [], []
         digest = xxhash.xxh3_128_intdigest
         for key, text_hash, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             held = [(i, x) for i, x in enumerate(text.split("\n")) if x.strip(BLANK)]
-            for k in range(len(held) - lines + 1):
+            n = len(held) - lines + 1
+            for k in range(max(n, 1) if short_texts and held else n):
                 some = held[k : k + lines]
                 h = digest("\n".join([x for _, x in some]))
                 ids.append(key)
@@ -58,9 +62,9 @@ def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
     return texts.mapInArrow(by_slices(of), "__id long, __hash long, a long, b long, lines array<int>")
 
 
-def repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> DataFrame:
     """Numbers of the lines to remove, a row for each document that loses some."""
-    every = windows(docs, lines)
+    every = windows(docs, lines, short_texts)
     place = F.struct("__id", "__hash", "lines")
     # minima in partial aggregates: a window that stands everywhere is no list anywhere
     first = every.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -69,14 +73,15 @@ def repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     return later.groupBy("__id", "__hash").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("__gone"))
 
 
-def remove_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> DataFrame:
     """All columns of ``docs``, with the repeated lines cut out of ``text``, and two counts.
 
     ``__n_lines`` counts the lines with a visible character, ``__n_removed``
     those removed. A null text stays null; texts of fewer than three such lines
-    stay whole. Rows are never dropped here.
+    stay whole, unless ``short_texts`` lets each be one window of all its lines.
+    Rows are never dropped here.
     """
-    marked = _keyed(docs).join(repeated_lines(docs, lines), ["__id", "__hash"], "left").drop("__id", "__hash")
+    marked = _keyed(docs).join(repeated_lines(docs, lines, short_texts), ["__id", "__hash"], "left").drop("__id", "__hash")
     fields = marked.columns
     at, gone_at = fields.index("text"), fields.index("__gone")
 
