@@ -1,0 +1,123 @@
+"""Pairs of texts with a Jaccard similarity of 0.8 or more over their word shingles.
+
+Candidates come from min-hashes in bands: texts that share all the minima of a
+band meet in a bucket. A pair of similarity s meets with probability
+1 - (1 - s ** MINIMA) ** BANDS, at 0.8 all but three in a million. Every
+candidate is verified by the exact similarity of the two sets.
+
+Each member of a bucket is compared with the bucket's leader first. Then only
+members that did not join the leader's component are compared with the others.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablewarden.llm.common import by_slices, saved
+from tablewarden.llm.components import components
+from tablewarden.llm.simhash import shingle_hashes
+
+WORDS = 5
+BANDS = 32
+MINIMA = 5
+#: Shingles whose min-hashes are taken at once.
+SOME = 1 << 12
+
+_numbers = np.random.default_rng(20).integers(0, 1 << 63, (2, BANDS * MINIMA, 1), dtype=np.uint64)
+_FLIPS, _FACTORS = _numbers[0], _numbers[1] * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order."""
+    return np.unique(shingle_hashes(text, words))
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """A bucket for each band of a set that is not empty."""
+    least = np.full(len(_FLIPS), np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), SOME):
+        least = np.minimum(least, ((shingles[start : start + SOME] ^ _FLIPS) * _FACTORS).min(axis=1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, MINIMA).T:
+        key = (key ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
+def _bands(texts: DataFrame) -> DataFrame:
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, nodes, sizes = [np.empty(0, np.int64)], [], []
+        for node, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            shingles = shingle_set(text)
+            if len(shingles):
+                keys.append(band_keys(shingles))
+                nodes.append(node)
+                sizes.append(len(shingles))
+        columns = [np.concatenate(keys), np.repeat(np.array(nodes, np.int64), BANDS), np.repeat(np.array(sizes, np.int64), BANDS)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "node", "size"])
+
+    return texts.select("node", "text").mapInArrow(by_slices(of), "bucket long, node long, size long")
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t).view(np.int64) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(by_slices(of), "node long, shingles array<long>")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Labels ``a`` and ``b`` of the pairs whose sets have a similarity of 0.8 or more."""
+    for x in "pq":
+        pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_shingles")), x)
+    common = F.size(F.array_intersect("p_shingles", "q_shingles"))
+    # c / (p + q - c) >= 4 / 5 in whole numbers
+    similar = 9 * common >= 4 * (F.size("p_shingles") + F.size("q_shingles"))
+    return pairs.where(similar).select(F.col("p_label").alias("a"), F.col("q_label").alias("b")).distinct()
+
+
+def _alike_in_size(a: str, b: str):
+    return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
+
+
+def similar_labels(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` between labels: those that similar texts join beyond the labels given.
+
+    ``texts`` has ``node`` (rows of one node have one text) and ``text``;
+    ``labels`` has ``node`` (no repeats) and ``label``.
+    """
+    index = saved(_bands(texts).distinct(), "bands")
+    leaders = index.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = saved(index.join(leaders, "bucket").join(labels, "node"), "shared")
+    wanted = shared.select("node").distinct()
+    sets = saved(_sets(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "sets")
+
+    def of_leader(rows: DataFrame) -> DataFrame:
+        own = rows.where("node = leader").select("bucket", F.col("label").alias("q_label"), F.col("size").alias("q_size"))
+        return rows.join(own, "bucket").where(F.col("label") != F.col("q_label"))
+
+    first = of_leader(shared).where(_alike_in_size("size", "q_size"))
+    first = first.select(F.col("node").alias("p"), F.col("leader").alias("q"), F.col("label").alias("p_label"), "q_label")
+    links = saved(_verified(first.distinct(), sets), "similar")
+
+    roots = components(links).withColumnRenamed("node", "label")
+    shared = shared.join(roots, "label", "left").withColumn("label", F.coalesce("root", "label")).drop("root")
+    shared = saved(shared, "shared")
+    strays = of_leader(shared).where("node != leader").select(
+        "bucket", F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("label").alias("p_label"), F.col("q_label").alias("of")
+    )
+    others = shared.where("node != leader").select(
+        "bucket", F.col("node").alias("q"), F.col("size").alias("q_size"), F.col("label").alias("q_label")
+    )
+    # of two strays the pair comes once
+    second = strays.join(others, "bucket").where(
+        (F.col("p_label") != F.col("q_label"))
+        & ((F.col("q_label") == F.col("of")) | (F.col("p") < F.col("q")))
+        & _alike_in_size("p_size", "q_size")
+    )
+    more = _verified(second.select("p", "q", "p_label", "q_label").distinct(), sets)
+    return links.unionAll(more)

@@ -1,0 +1,43 @@
+"""Near copies over five words in the pipeline's SimHash stage, against all pairs."""
+
+import random
+
+import corpus_pipeline
+from tablewarden.llm import simhash
+
+
+def _set(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+def _similar(a, b):
+    a, b = _set(a), _set(b)
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def test_near_copies_beyond_four_bits(spark):
+    rng = random.Random(12)
+    texts = ["short one", "short  ONE", "quite another"]
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 150))]
+        texts.append(" ".join(words))
+        # up to four changes each, on the text or on the last copy: chains whose ends are not similar
+        for _ in range(rng.randint(1, 8)):
+            copy = list(words)
+            for k in rng.sample(range(len(copy)), rng.randint(0, 4)):
+                copy[k] = f"v{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+            words = rng.choice([words, copy])
+    rng.shuffle(texts)
+    fps = [simhash.fingerprint(t) for t in texts]
+    near = [(i, j) for j in range(len(texts)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 4 or _similar(texts[i], texts[j])]
+    assert sum((fps[i] ^ fps[j]).bit_count() > 4 for i, j in near) > 20
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_copies(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
