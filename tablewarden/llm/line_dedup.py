@@ -69,8 +69,8 @@ def repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = Fals
     # minima in partial aggregates: a window that stands everywhere is no list anywhere
     first = every.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = every.join(first.select("a", "b", "first"), ["a", "b"]).where(place != F.col("first"))
-    # what is gathered for a document is bounded by its own lines
-    return later.groupBy("__id", "__hash").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("__gone"))
+    # sets, so that what is gathered for a key is bounded by the lines of one text, however often its row repeats
+    return later.groupBy("__id", "__hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("__gone"))
 
 
 def remove_repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> DataFrame:
