@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tablewarden.llm import bpe, classifier, decontaminate, exact_dedup, line_dedup, pii, quality_rules, simhash, token_counts, token_files
+from tablewarden.llm import (
+    bpe,
+    classifier,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    periodic_runs,
+    pii,
+    quality_rules,
+    simhash,
+    token_counts,
+    token_files,
+)
 from tablewarden.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +53,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": _on_documents(quality_rules.apply_rules),
         "op9_personal_data": _on_documents(pii.find_personal_data),
         "op10_line_dedup": _on_documents(line_dedup.line_dedup_digests),
+        "op13_periodic_runs": _on_documents(periodic_runs.run_digests),
         "pipeline": corpus_pipeline.run,
     }
 
