@@ -14,6 +14,7 @@ from tablewarden.llm import (
     exact_dedup,
     line_dedup,
     periodic_runs,
+    phrases,
     pii,
     quality_rules,
     simhash,
@@ -53,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": _on_documents(quality_rules.apply_rules),
         "op9_personal_data": _on_documents(pii.find_personal_data),
         "op10_line_dedup": _on_documents(line_dedup.line_dedup_digests),
+        "op12_collocations": _on_documents(phrases.collocations),
         "op13_periodic_runs": _on_documents(periodic_runs.run_digests),
         "pipeline": corpus_pipeline.run,
     }
