@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tablewarden.llm import (
     bpe,
+    chat,
     classifier,
     decontaminate,
     exact_dedup,
@@ -42,6 +43,10 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": _on_documents(bpe.round_trip_digests),
@@ -54,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": _on_documents(quality_rules.apply_rules),
         "op9_personal_data": _on_documents(pii.find_personal_data),
         "op10_line_dedup": _on_documents(line_dedup.line_dedup_digests),
+        "op11_chat_samples": _chat,
         "op12_collocations": _on_documents(phrases.collocations),
         "op13_periodic_runs": _on_documents(periodic_runs.run_digests),
         "pipeline": corpus_pipeline.run,
