@@ -19,12 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token
-from tablewarden.operators import audit, constraints, normalise, pairs, policy
+from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
 from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import BARS, BOOKING_COLUMNS, GRANTS, POLICIES, RESERVATIONS, Grant, Policy
 from tablewarden.session import scratch_dir
-from tablewarden.sources import bars_csv, bookings, layout, querylog
+from tablewarden.sources import bars_csv, bookings, layout, loads, querylog
 from tablewarden.sources import testtables as src
 
 try:  # the text operators are a part that may be left out
@@ -103,6 +103,27 @@ def _layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.latest_log(querylog.read_log(spark, log_path)).select("test_tipi", "satir_sayisi")
 
 
+def _explain_analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a yearly report on the year layout really read: rows and folders of scan, filter and aggregate."""
+    table = layout.read_by_year(spark, _by_year(spark, sf_dir))
+    # a comparison of two columns is no filter of the reader, so the scan counts all rows of its folders
+    picked = table.where(layout.between_dates(date(1996, 1, 1), date(1997, 12, 31))).where("daily_change > daily_range / 2")
+    steps = profile.profile(picked.groupBy("symbol").agg(F.count("*").alias("n")))
+    # of the two steps of the aggregate the last is the root
+    shown = F.col("operator").isin("Scan", "Filter") | (F.col("id") == 0)
+    only_files = F.col("files_read") >= F.col("folders_read")
+    return steps.where(shown).select("operator", "rows_out", "folders_read", only_files.alias("has_files"))
+
+
+def _timed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reports run whole under a clock, and what the log says of their rows."""
+    bars, log_path = src.bars(spark, sf_dir), scratch_dir(spark, "query-log")
+    for notes, query in (("sorted", bars.orderBy("symbol", "trade_date")), ("yearly", B.yearly_stats(bars, SYMBOLS))):
+        querylog.timed_run(query, log_path, user="bench", text=notes, notes=notes)
+    log = querylog.read_log(spark, log_path)
+    return log.select(F.col("notes").alias("test_tipi"), F.col("rows_returned").alias("satir_sayisi"), (F.col("duration_ms") > 0).alias("timed"))
+
+
 def _bar_queries() -> dict[str, Query]:
     return {
         "bar_derived": _on_bars(lambda b: b.select("symbol", "trade_date", "daily_change", "daily_range")),
@@ -127,6 +148,8 @@ def _bar_queries() -> dict[str, Query]:
         "bars_by_year": _bars_by_year,
         "partition_inventory": _partition_inventory,
         "layout_comparison": _layout_comparison,
+        "explain_analyze": _explain_analyze,
+        "timed_queries": _timed_queries,
     }
 
 
@@ -298,6 +321,27 @@ def _appended_loads(s: SparkSession, d: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).groupBy("ad").agg(F.sum("n").alias("sayi"))
 
 
+def _serial_ids(s: SparkSession, d: str) -> DataFrame:
+    """Every line item as a row of a table that numbers its rows in order, without gaps."""
+    order = ["trade_date", "id", "part_id", "amount"]
+    return plain(serials.with_serial(src.unchecked_bars(s, d).select(*order), order, "serial", start=1))
+
+
+def _repeated_loads(s: SparkSession, d: str) -> DataFrame:
+    """Three loads of booking files: one loaded twice, one broken off and loaded again."""
+    store = loads.LoadStore(s, scratch_dir(s, "load-store"))
+    lines = src.booking_lines(s, d)
+    for number, load in enumerate(["first", "twice", "broken"]):
+        files = _as_files(lines.where(F.col("id") % 3 == number).orderBy("id"), list(BOOKING_COLUMNS), f"load-{load}")
+        if load == "broken":
+            # the attempt wrote a part of its rows and was never published
+            rows = bookings.typed(bookings.read_strings(s, files, in_order=True))
+            store.write(load, rows.where("lead_time < 200"))
+        for _ in range(2 if load == "twice" else 1):
+            loads.load_bookings(store, load, files)
+    return plain(store.read().select("id", "load", "reason", "hotel", "lead_time", "adr", "agent"))
+
+
 def _ingest_queries() -> dict[str, Query]:
     return {
         "ingest_bookings": lambda s, d: plain(_good(s, d)),
@@ -307,6 +351,8 @@ def _ingest_queries() -> dict[str, Query]:
         "ingest_booking_files": _ingest_booking_files,
         "ingest_bar_files": _ingest_bar_files,
         "appended_loads": _appended_loads,
+        "serial_ids": _serial_ids,
+        "repeated_loads": _repeated_loads,
         "ingest_bars": lambda s, d: plain(bars_csv.bars_from_lines(src.bar_lines(s, d))),
         "normalise_guests": _normalise_guests,
         "normalise_reservations": lambda s, d: plain(normalise.reservations(_good(s, d))),

@@ -174,5 +174,19 @@ with {BARS}, n as (
     select count(*) as n from bars where symbol = 'Brand#13' and trade_date between date '1997-01-01' and date '1997-12-31'
 )
 select 'plain' as test_tipi, n as satir_sayisi from n union all select 'by year', n from n
+""",
+    "explain_analyze": f"""
+with {BARS}, scanned as (select * from bars where year(trade_date) in (1996, 1997)),
+     picked as (select * from scanned where 2 * daily_change > daily_range)
+select 'Scan' as operator, count(*) as rows_out, count(distinct year(trade_date)) as folders_read, true as has_files from scanned
+union all select 'Filter', count(*), null, null from picked
+union all select 'HashAggregate', count(distinct symbol), null, null from picked
+""",
+    "timed_queries": f"""
+with {BARS}
+select 'sorted' as test_tipi, count(*) as satir_sayisi, true as timed from bars
+union all
+select 'yearly', count(distinct (symbol, year(trade_date))), true
+from bars where symbol in ('Brand#1', 'Brand#7', 'Brand#13', 'Brand#19', 'Brand#25')
 """,
 }

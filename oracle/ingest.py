@@ -58,6 +58,20 @@ SQL = {
     "appended_loads": f"""
 with {BOOKINGS}
 select unnest(['kayit', 'numara', 'eslesme']) as ad, 2 * count(*) as sayi from good
+""",
+    "serial_ids": f"""
+with {UNCHECKED}
+select {day("trade_date")} as trade_date, id, part_id, amount,
+       row_number() over (order by u.trade_date nulls first, id, part_id, amount) as serial
+from u
+""",
+    "repeated_loads": f"""
+with {BOOKINGS}
+select row_number() over (order by k % 3, k) - 1 as id, ['first', 'twice', 'broken'][k % 3 + 1] as load, reason,
+       case when k % 29 = 0 then repeat('H', 50) else hotel end as hotel, cast(k % 400 as int) as lead_time,
+       cast(case when k % 17 = 0 then null when k % 19 = 0 then price + 0.01 else price end as double) as adr,
+       case when k % 7 <> 0 then cast(g as varchar) end as agent
+from reasoned
 """,
     "ingest_rejects": f"""
 with {BOOKINGS} select reason, count(*) as hata_sayisi from reasoned where reason is not null group by 1

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewarden.functions.text import as_date, as_int, as_number, cut, null_words, number_fault, too_long
 from tablewarden.operators.derived import next_id, with_surrogate_id
+from tablewarden.operators.serials import in_ranges
 from tablewarden.schemas import BOOKING_COLUMNS, SENTINEL_COLUMNS
 
 # a quote inside quotes is doubled; a backslash is a letter like any other
@@ -51,19 +52,25 @@ def open_quote(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def read_strings(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_strings(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, in_order: bool = False
+) -> DataFrame:
     """Rows as a struct of texts in table order, and the number of fields present.
 
     Columns are matched by header name. Only the header is read for the names;
     no pass infers types. With ``multi_line`` a quoted text may hold line
     breaks, but then a file is read by one task; without it a line that ends
-    within a quoted text has no fields and becomes a reject.
+    within a quoted text has no fields and becomes a reject. With ``in_order``
+    the rows are dealt out in sorted ranges of file name and line; lines are
+    ordered before they are parsed, so that they are parsed once.
     """
+    if multi_line and in_order:
+        raise ValueError("records over several lines have no order of lines")
     names = spark.read.options(header=True, multiLine=multi_line, **QUOTES).csv(path).columns
     missing = [c for c in BOOKING_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"columns missing in the file: {', '.join(missing)}")
-    rows = _whole_records(spark, path, names) if multi_line else _lines(spark, path, names)
+    rows = _whole_records(spark, path, names) if multi_line else _lines(spark, path, names, in_order)
     if names[: len(BOOKING_COLUMNS)] == list(BOOKING_COLUMNS):
         return rows
     # another column order: settle absent fields here
@@ -82,9 +89,13 @@ def _whole_records(spark: SparkSession, path: str | list[str], names: list[str])
     return _once(rows.select(F.struct(*names).alias(ROW), count.alias("_c")), COUNT, F.col("_c")).drop("_c")
 
 
-def _lines(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str], names: list[str], in_order: bool = False) -> DataFrame:
     """Every line but the headers; a header with the same names in another order stops the load."""
-    rows = strings_from_lines(spark.read.text(path).where("value <> ''"), "value", names)
+    lines = spark.read.text(path).where("value <> ''")
+    if in_order:
+        # a split of a file is read from front to back, so ids that rise along the scan order its lines
+        lines = in_ranges(lines, [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")])
+    rows = strings_from_lines(lines, "value", names)
     first = F.col(ROW)[names[0]]
     texts = F.array(*[F.col(ROW)[n] for n in names])
     wanted = F.array(*[F.lit(n) for n in names])
