@@ -23,10 +23,11 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import saved, ship_package
+from tablewarden.llm.common import files_for, saved, ship_package
 
 LEAST_COUNT = 10
 #: Of 100 occurrences of a phrase, those within one longer candidate that drop it.
@@ -34,14 +35,17 @@ WITHIN_LONGER = 50
 MOST_PER_LANG = 2000
 NO_LANG = "und"
 #: Bytes of text whose edges are added up at once; a longer text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of text for each bucket of sums; a bucket is added up in one step of a task.
 BUCKET_BYTES = 4 << 20
+#: Phrases in a file of an intermediate table.
+PHRASES_PER_FILE = 500_000
 #: Words whose edges are added up at once.
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 19
 
-PACKED = "bucket long, sizes binary, phrases binary, counts binary"
-PACKED_TYPES = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+#: A slice's sums for one bucket: sizes (int32) and counts (int64) of the phrases, then their bytes, compressed.
+PACKED = "bucket long, n_phrases long, payload binary"
+PACKED_TYPES = (pa.int64(), pa.int64(), pa.binary())
 COUNTS = "lang string, words array<string>, n long"
 #: A blank for a tab, a line feed for each mark that ends a piece, small letters for A-Z (fixed values).
 PLAIN = bytes.maketrans(
@@ -83,7 +87,7 @@ def _flows(ids: np.ndarray, size: int) -> list[tuple[list[np.ndarray], np.ndarra
     return out
 
 
-def _packed(lang: str, texts: list[str], buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+def _packed(lang: str, texts: list[str], buckets: int) -> Iterator[tuple[int, int, bytes]]:
     """The sums of one slice of one language, as rows of ``PACKED``."""
     plain = "\n".join(texts).encode("utf-8").translate(PLAIN).replace(b"\n", b" \n ")
     known = pa.array([b"\n", *filter(None, plain.split(b" "))], pa.binary()).dictionary_encode()
@@ -94,7 +98,9 @@ def _packed(lang: str, texts: list[str], buckets: int) -> Iterator[tuple[int, by
             yield from _packed_chunk(lang, _flows(ids[start:], CHUNK_WORDS), vocabulary, mixed, buckets)
 
 
-def _packed_chunk(lang: str, flows: list, vocabulary: pa.Array, mixed: np.ndarray, buckets: int) -> list[tuple[int, bytes, bytes, bytes]]:
+def _packed_chunk(
+    lang: str, flows: list, vocabulary: pa.Array, mixed: np.ndarray, buckets: int
+) -> Iterator[tuple[int, int, bytes]]:
     suffix = lang.encode("utf-8")
     seed = zlib.crc32(suffix)
     place, phrases, counts = [], [], []
@@ -119,10 +125,10 @@ def _packed_chunk(lang: str, flows: list, vocabulary: pa.Array, mixed: np.ndarra
     ends = np.frombuffer(every.buffers()[1], dtype=np.int32, count=len(every) + 1)
     data = memoryview(every.buffers()[2])
     cuts = np.r_[0, np.flatnonzero(np.diff(place)) + 1, len(place)].tolist()
-    return [
-        (int(place[a]), np.diff(ends[a : b + 1]).tobytes(), bytes(data[ends[a] : ends[b]]), weight[a:b].tobytes())
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-    ]
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        payload = np.diff(ends[a : b + 1]).tobytes() + weight[a:b].tobytes() + bytes(data[ends[a] : ends[b]])
+        yield int(place[a]), b - a, squeeze.compress(payload)
 
 
 def _pack(buckets: int):
@@ -139,19 +145,23 @@ def _pack(buckets: int):
                     rows_out = _packed(lang, texts, buckets)
                     while some := list(islice(rows_out, 64)):
                         columns = [pa.array(c, kind) for c, kind in zip(zip(*some, strict=True), PACKED_TYPES, strict=True)]
-                        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "sizes", "phrases", "counts"])
+                        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n_phrases", "payload"])
 
     return run
 
 
-def _bucket_sums(held: list[tuple[bytes, bytes, bytes]], least: int) -> pa.RecordBatch:
+def _bucket_sums(held: list[tuple[int, bytes]], least: int) -> pa.RecordBatch:
     """The phrases of one bucket with ``least`` occurrences or more; totals of languages always."""
-    sizes = np.frombuffer(b"".join(h[0] for h in held), dtype=np.int32)
-    offsets = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
-    keys = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(h[1] for h in held))]
-    )
-    counts = np.frombuffer(b"".join(h[2] for h in held), dtype=np.int64)
+    sizes, counts, data = [], [], []
+    for n, payload in held:
+        raw = zstandard.ZstdDecompressor().decompress(payload)
+        sizes.append(np.frombuffer(raw, np.int32, n))
+        counts.append(np.frombuffer(raw, np.int64, n, 4 * n))
+        data.append(raw[12 * n :])
+    offsets = np.r_[0, np.cumsum(np.concatenate(sizes), dtype=np.int64)]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(data))]
+    keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+    counts = np.concatenate(counts)
     sums = pa.table({"key": keys, "n": counts}).group_by("key").aggregate([("n", "sum")])
     frequent = sums.filter(pc.or_(pc.greater_equal(sums["n_sum"], least), pc.starts_with(sums["key"], b"\n")))
     split = [key.split(b"\n", 1) for key in frequent["key"].to_pylist()]
@@ -174,7 +184,7 @@ def _sum_up(least: int):
                     yield _bucket_sums(held, least)
                     held = []
                 bucket = number
-                held.append(tuple(batch.column(c)[i].as_py() for c in (1, 2, 3)))
+                held.append((batch.column(1)[i].as_py(), batch.column(2)[i].as_py()))
         if held:
             yield _bucket_sums(held, least)
 
@@ -220,7 +230,8 @@ def compacted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     out = edges.groupBy("lang", F.col("source").alias("node")).agg(F.max("n").alias("most_out"))
     # an edge with all of the flow is the only one
     unary = nodes.join(into, ["lang", "node"]).join(out, ["lang", "node"]).where("most_in = f and most_out = f")
-    unary = saved(unary.select("lang", "node"), "unary-nodes")
+    files = files_for(edges, edges.count(), PHRASES_PER_FILE)
+    unary = saved(unary.select("lang", "node"), "unary-nodes", files)
     before = edges.select("lang", F.col("phrase").alias("path"), F.col("target").alias("source"))
     before = before.join(unary.withColumnRenamed("node", "source"), ["lang", "source"], "left_semi")
     goes_on = unary.select("lang", F.col("node").alias("target"), F.lit(False).alias("last"))
@@ -232,7 +243,7 @@ def compacted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         F.coalesce("path", "phrase").alias("path"),
         F.col("path").isNotNull().cast("long").alias("place"),
     )
-    state = saved(state, "phrase-paths")
+    state = saved(state, "phrase-paths", files)
     while True:
         inner = state.where("place > 0").select(
             "lang", F.col("phrase").alias("path"), F.col("path").alias("far"), F.col("place").alias("more")
@@ -244,7 +255,7 @@ def compacted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             (F.col("place") + F.coalesce("more", F.lit(0))).alias("place"),
             F.col("far").isNotNull().alias("moved"),
         )
-        moved = saved(moved, "phrase-paths")
+        moved = saved(moved, "phrase-paths", files)
         state = moved.drop("moved")
         if moved.where("moved").isEmpty():
             return state
@@ -273,7 +284,8 @@ def candidates(counts: DataFrame, within: int = WITHIN_LONGER) -> DataFrame:
     nodes, edges = graph(counts)
     edges = compacted(nodes, edges)
     inner = edges.where("place > 0").select("lang", F.col("source").alias("node"))
-    nodes = saved(nodes.join(inner, ["lang", "node"], "left_anti"), "phrase-nodes")
+    files = files_for(nodes, nodes.count(), PHRASES_PER_FILE)
+    nodes = saved(nodes.join(inner, ["lang", "node"], "left_anti"), "phrase-nodes", files)
     words = counts.where("size(words) = 1").select("lang", F.col("words")[0].alias("word"), F.col("n").alias("f"))
 
     ends = [edges.where(where).select("lang", F.col(c).alias("node"), "n") for where, c in (("place = 0", "source"), ("last", "target"))]
