@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import saved, ship_package
+from tablewarden.llm.common import files_for, saved, ship_package
 from tablewarden.llm.token_files import BYTE_VOCABULARY, word_encoder
 
 #: Tokens of a window, marks included. A turn that alone needs more is a window of its own.
@@ -35,6 +35,8 @@ HISTORY_TURNS = 2
 HISTORY_TOKENS = 256
 #: Budgets of tokens in a chunk, the work of one step of a task.
 CHUNK_BUDGETS = 64
+#: Turns in a file of an intermediate table.
+TURNS_PER_FILE = 100_000
 
 # Marks of the template (fixed values)
 START = "<s>"
@@ -118,8 +120,8 @@ def token_counts(turns: DataFrame, vocabulary: str = BYTE_VOCABULARY) -> DataFra
     return turns.mapInArrow(run, f"{TURNS}, n_tokens long")
 
 
-def placed(turns: DataFrame) -> DataFrame:
-    """The turns with ``place``, from 0 on, and ``before``, the tokens of all turns before them.
+def placed(turns: DataFrame, vocabulary: str = BYTE_VOCABULARY) -> DataFrame:
+    """The turns with ``n_tokens``, ``place``, from 0 on, and ``before``, the tokens of all turns before them.
 
     Rows go to ranges of conversation and turn, each a bounded part of all rows
     even if they are all alike; the ranges are joined by one row for each
@@ -128,7 +130,9 @@ def placed(turns: DataFrame) -> DataFrame:
     order = ["turn", "role", "text"]
     # the number of a row in the scan parts rows that are alike throughout
     dealt = turns.repartitionByRange("conv_id", *order, F.monotonically_increasing_id())
-    dealt = saved(dealt.withColumn("piece", F.spark_partition_id().cast("long")), "chat-turns")
+    # counted behind the shuffle, since finding the ranges reads what is before it twice
+    counted = token_counts(dealt, vocabulary).withColumn("piece", F.spark_partition_id().cast("long"))
+    dealt = saved(counted, "chat-turns")
     rows = Window.partitionBy("piece", "conv_id").orderBy(*order)
     before = rows.rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.withColumn("place", F.row_number().over(rows).cast("long") - 1)
@@ -142,7 +146,7 @@ def placed(turns: DataFrame) -> DataFrame:
         F.sum("n_tokens").over(earlier).alias("tokens_before"),
     ).where("rows_before is not null")
     # at most one row for each range
-    offsets = saved(offsets, "chat-offsets")
+    offsets = saved(offsets, "chat-offsets", files=1)
     met = own.join(offsets, (F.col("piece") == F.col("cut_piece")) & F.col("conv_id").eqNullSafe(F.col("cut_id")), "left")
     return met.select(
         *dealt.drop("piece").columns,
@@ -207,8 +211,9 @@ def samples(
     )
     size = chunk_budgets * budget
     chunk = F.floor(F.col("before") / F.lit(size))
-    rows = placed(token_counts(turns, vocabulary)).withColumn("chunk", chunk)
-    rows = saved(rows.drop("turn"), "chat-placed")
+    rows = placed(turns, vocabulary).withColumn("chunk", chunk)
+    rows = rows.drop("turn")
+    rows = saved(rows, "chat-placed", files_for(rows, turns.count(), TURNS_PER_FILE))
     # turns that begin within the last tokens of a chunk may be history of the next one
     late = rows.where(F.col("before") >= (F.col("chunk") + 1) * size - history_tokens).withColumn("chunk", F.col("chunk") + 1)
     later = rows.where("chunk > 0").select(F.col("conv_id").alias("later_id"), F.col("chunk").alias("later")).distinct()
@@ -364,6 +369,10 @@ def conversation_digests(samples: DataFrame) -> DataFrame:
 def chat_digests(conversations: DataFrame) -> DataFrame:
     """Formats all conversations and one that speaks in marks, writes the samples, reads them back."""
     turns = conversations.select(*(F.col(c).cast(k).alias(c) for c, k in (t.split() for t in TURNS.split(", "))))
-    marks = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))]
-    turns = turns.unionByName(turns.sparkSession.createDataFrame(marks, TURNS))
-    return conversation_digests(saved(samples(turns), "chat-samples"))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    marks = turns.sparkSession.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    turns = turns.unionByName(marks)
+    windows = samples(turns)
+    return conversation_digests(saved(windows, "chat-samples", files_for(windows, turns.count(), TURNS_PER_FILE)))

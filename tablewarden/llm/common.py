@@ -44,13 +44,22 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared scratch folder and read back, which cuts the lineage."""
+def saved(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Written once to the shared scratch folder and read back, which cuts the lineage.
+
+    ``files`` is the most files to write; a small table needs no file for each
+    partition of the shuffle before it.
+    """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def files_for(df: DataFrame, rows: int, rows_per_file: int) -> int:
+    """Files for so many rows: as many as run side by side, more where a file would hold too many."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_file))
+
+
 def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``df`` with more fields behind it."""
     types = {"long": T.LongType(), "double": T.DoubleType()}

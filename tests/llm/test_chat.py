@@ -143,6 +143,7 @@ def test_digests(spark, rows):
 
 
 def test_like_rows_are_cut_into_ranges(spark):
-    rows = spark.createDataFrame([(None, None, "", "", 3)] * 4000, "conv_id long, turn long, role string, text string, n_tokens long")
+    rows = spark.createDataFrame([(None, None, "user", "")] * 4000, chat.TURNS)
     found = chat.placed(rows.repartition(4)).collect()
-    assert sorted(r.place for r in found) == list(range(4000)) and sorted(r.before for r in found) == [3 * i for i in range(4000)]
+    assert {r.n_tokens for r in found} == {2} and sorted(r.place for r in found) == list(range(4000))
+    assert sorted(r.before for r in found) == [2 * i for i in range(4000)]
