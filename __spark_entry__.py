@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -20,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token
 from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
+from tablewarden.operators.keyed import KeyedTable, Reference
 from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import BARS, BOOKING_COLUMNS, GRANTS, POLICIES, RESERVATIONS, Grant, Policy
@@ -272,6 +274,34 @@ def _check_fk(s: SparkSession, d: str) -> DataFrame:
     return constraints.foreign_key(bars, "part_id", src.table(s, d, "part"), "p_partkey")
 
 
+def _keyed_bars(s: SparkSession, d: str) -> KeyedTable:
+    """Line items in three batches, written into a table that keeps its key, its reference and its rules."""
+    tag = uuid.uuid4().hex
+    parts = src.table(s, d, "part").select(F.col("p_partkey").alias("part_id"))
+    parents = KeyedTable(s, scratch_dir(s, "parts"), f"parts_{tag}", parts.schema, ["part_id"])
+    # the parts that no table has are those that end in 3
+    parents.append(parts.where("part_id % 10 <> 3"), 0)
+    rows = src.unchecked_bars(s, d).select("id", "part_id", "trade_date", "open_price", "amount")
+    rules = {"open_price: missing": F.col("open_price").isNull(), "trade_date: no partition": constraints.outside_years(F.col("trade_date"), 1993, 1997)}
+    root = scratch_dir(s, "keyed-bars")
+    reference = [Reference(("part_id",), parents)]
+    table = KeyedTable(s, root, f"bars_{tag}", rows.schema, ["part_id", "trade_date"], reference, rules)
+    for batch in range(3):
+        table.append(rows.where(F.col("id") % 3 == batch), batch, order=["id", "amount"])
+    return table
+
+
+def _keyed_accepted(s: SparkSession, d: str) -> DataFrame:
+    return plain(_keyed_bars(s, d).accepted().select("id", "part_id", "trade_date", "amount", "batch"))
+
+
+def _keyed_refused(s: SparkSession, d: str) -> DataFrame:
+    refused = _keyed_bars(s, d).refused()
+    # the parent's name is another one in each run
+    reasons = F.regexp_replace(F.array_join("reasons", "; "), r"parts_[0-9a-f]+", "parts")
+    return refused.groupBy("batch", reasons.alias("reasons")).agg(F.count("*").alias("satir_sayisi"))
+
+
 def _row_faults(df: DataFrame) -> DataFrame:
     rules = {
         "open_price is null": F.col("open_price").isNull(),
@@ -364,6 +394,8 @@ def _ingest_queries() -> dict[str, Query]:
         "check_numeric": _on_unchecked(constraints.numerics, "amount", 10, 2),
         "check_partition_range": _on_unchecked(constraints.partition_range, "trade_date", 1996, 2000),
         "row_faults": _on_unchecked(_row_faults),
+        "keyed_accepted": _keyed_accepted,
+        "keyed_refused": _keyed_refused,
     }
 
 

@@ -52,7 +52,25 @@ u as (
 )
 """
 
+# Rows of three batches as an insert row by row would judge them.
+KEYED = f"""
+{UNCHECKED}, judged as (
+    select *, cast(id % 3 as int) as batch,
+           concat_ws('; ', case when open_price is null then 'open_price: missing' end,
+                     case when not coalesce(year(trade_date) between 1993 and 1997, false) then 'trade_date: no partition' end,
+                     case when part_id % 10 = 3 then 'part_id: not in parts' end) as faults
+    from u
+), placed as (
+    select *, case when faults = '' then row_number() over (partition by part_id, trade_date, faults = '' order by batch, id, amount) end as place
+    from judged
+), decided as (
+    select *, case when place > 1 then 'part_id, trade_date: key exists' else faults end as reasons from placed
+)
+"""
+
 SQL = {
+    "keyed_accepted": f"with {KEYED} select id, part_id, {day('trade_date')} as trade_date, amount, batch from decided where reasons = ''",
+    "keyed_refused": f"with {KEYED} select batch, reasons, count(*) as satir_sayisi from decided where reasons <> '' group by all",
     "ingest_bookings": f"with {BOOKINGS} select * from good",
     "ingest_booking_files": f"with {BOOKINGS} select * exclude (id) from good",
     "appended_loads": f"""

@@ -8,22 +8,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.exact import size_text
+from tablewarden.operators.constraints import outside_years
 from tablewarden.schemas import BARS_COMMENT
 
 YEAR = "trade_year"
 
 
-def write_by_year(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_by_year(bars: DataFrame, path: str, mode: str = "overwrite", years: tuple[int, int] | None = None) -> None:
     """Write bars under one folder per year, clustered by symbol and day.
 
+    A row without a day has no folder and stops the write; with ``years``, the
+    first and the last, so does a day outside them.
+
     Overwriting replaces the years that are in the input and keeps the others.
 
     The range shuffle cuts a crowded year or symbol into several tasks, each of
     which writes a narrow range, so file statistics prune by symbol. AQE picks
     the number of ranges.
     """
+    nowhere = F.col("trade_date").isNull() if years is None else outside_years(F.col("trade_date"), *years)
+    refused = F.raise_error(F.concat(F.lit("no partition for day "), F.coalesce(F.col("trade_date").cast("string"), F.lit("null"))))
     clustered = (
-        bars.withColumn(YEAR, F.year("trade_date"))
+        bars.withColumn(YEAR, F.when(nowhere, refused.cast("int")).otherwise(F.year("trade_date")))
         .repartitionByRange(YEAR, "symbol", "trade_date")
         .sortWithinPartitions(YEAR, "symbol", "trade_date")
     )
