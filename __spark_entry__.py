@@ -22,6 +22,7 @@ from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token
 from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
 from tablewarden.operators.keyed import KeyedTable, Reference
+from tablewarden.operators.session_role import SessionRole
 from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import BARS, BOOKING_COLUMNS, GRANTS, POLICIES, RESERVATIONS, Grant, Policy
@@ -211,6 +212,18 @@ def _policy_list(s: SparkSession, d: str) -> DataFrame:
     return policy.policy_list(found.unionByName(policy.policy_table(s, MANAGER_POLICIES)))
 
 
+def _session_roles(s: SparkSession, d: str) -> DataFrame:
+    """One SQL text in one session: before any role, under three roles, and after RESET."""
+    session = SessionRole(s, MANAGER_POLICIES, MANAGER_GRANTS + (Grant("manager", RESERVATIONS, "SELECT"),))
+    session.protect(src.reservations(s, d), RESERVATIONS)
+    seen = []
+    for rol in (None, "city_reception", "resort_reception", "manager", None):
+        session.reset_role() if rol is None else session.set_role(rol)
+        step = s.sql(f"SELECT hotel, count(*) AS gordugun_kayit_sayisi, count(DISTINCT musteri_id) AS misafir FROM {RESERVATIONS} GROUP BY hotel")
+        seen.append(step.select(F.lit(len(seen)).alias("adim"), F.lit(rol or "-").alias("rol"), "*"))
+    return seen[0].unionAll(seen[1]).unionAll(seen[2]).unionAll(seen[3]).unionAll(seen[4])
+
+
 def _hotel_queries() -> dict[str, Query]:
     rows_for = lambda role: _on_reservations(policy.visible, role)
     roles = ["admin", "city_reception", "resort_reception", "visitor"]
@@ -223,6 +236,7 @@ def _hotel_queries() -> dict[str, Query]:
             src.guests(s, d), src.reservations(s, d), "city_reception"
         ),
         "isolation_report": _on_reservations(policy.isolation_report, roles, MANAGER_POLICIES),
+        "session_roles": _session_roles,
         "policy_list": _policy_list,
         "grant_matrix": _grant_matrix,
         "grant_check": _grant_check,

@@ -139,6 +139,13 @@ select * from gst where musteri_id in (select musteri_id from res where hotel =
     "isolation_report": f"""
 with {RES}, roles as (select unnest(['admin', 'city_reception', 'resort_reception', 'visitor']) as rol)
 select rol, hotel, count(*) as gordugun_kayit_sayisi from res, roles where {_guard("rol")} group by all
+""",
+    "session_roles": f"""
+with {RES}, steps as (select unnest([1, 2, 3]) as adim, unnest(['city_reception', 'resort_reception', 'manager']) as rol)
+select cast(adim as int) as adim, rol, hotel, count(*) as gordugun_kayit_sayisi, count(distinct musteri_id) as misafir
+from res, steps
+where rol = 'manager' or (rol = 'city_reception' and hotel = 'City Hotel') or (rol = 'resort_reception' and hotel = 'Resort Hotel')
+group by all
 """,
     "policy_list": f"""
 with {RES}

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from tablewarden.schemas import GRANTS, POLICIES, RESERVATIONS, Grant, Policy
 
 
+def _predicate(role: str, policies: Iterable[Policy], table: str) -> Column:
+    mine = [F.expr(p.predicate) for p in policies if p.role == role and p.table == table]
+    return reduce(lambda a, b: a | b, mine, F.lit(False))
+
+
 def row_guard(role: str, policies: Iterable[Policy] = POLICIES, table: str = RESERVATIONS) -> Column:
     """True for the rows a role may touch; false for a role with no policy."""
-    mine = [F.expr(p.predicate) for p in policies if p.role == role and p.table == table]
-    return F.coalesce(reduce(lambda a, b: a | b, mine, F.lit(False)), F.lit(False))
+    return F.coalesce(_predicate(role, policies, table), F.lit(False))
 
 
 def role_guard(role: Column, policies: Iterable[Policy] = POLICIES, table: str = RESERVATIONS) -> Column:
@@ -31,7 +35,8 @@ def role_guard(role: Column, policies: Iterable[Policy] = POLICIES, table: str =
 
 
 def visible(df: DataFrame, role: str, policies: Iterable[Policy] = POLICIES, table: str = RESERVATIONS) -> DataFrame:
-    return df.where(row_guard(role, policies, table))
+    # a filter takes null for false, and a bare predicate can go to the reader
+    return df.where(_predicate(role, policies, table))
 
 
 def visible_guests(guests: DataFrame, reservations: DataFrame, role: str, policies: Iterable[Policy] = POLICIES) -> DataFrame:
