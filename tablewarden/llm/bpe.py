@@ -20,12 +20,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tablewarden.llm.common import by_slices, doc_texts, vocabulary_path
+from tablewarden.llm.common import Known, by_slices, doc_texts, vocabulary_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
-#: Words and fragments kept between batches; only the memory of a worker depends on it.
-CACHE_ENTRIES = 400_000
+#: Bytes of words and of fragments kept between batches.
+WORD_BYTES, FRAGMENT_BYTES = 48 << 20, 16 << 20
 
 #: From so many symbols on a fragment is merged with a heap.
 HEAP_SYMBOLS = 48
@@ -90,20 +90,6 @@ def _merge_with_heap(symbols: list, ranks: dict) -> list:
     return [s for i, s in enumerate(symbols) if not gone[i]]
 
 
-class _Words(dict):
-    """Ids of a word as little-endian bytes, computed when first asked for."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self._encode = encode
-
-    def __missing__(self, word):
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[word] = ids = self._encode(word)
-        return ids
-
-
 class WordBpe:
     """A word-level BPE with word ends, lower case and dropped white space."""
 
@@ -134,8 +120,8 @@ class WordBpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.words = _Words(self._encode_word)
-        self.fragments = _Words(self._encode_fragment)
+        self.words = Known(self._encode_word, WORD_BYTES)
+        self.fragments = Known(self._encode_fragment, FRAGMENT_BYTES)
 
     def _encode_fragment(self, key: tuple[str, bool]) -> bytes:
         body, last = key

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import doc_texts, ship_package, with_fields
+from tablewarden.llm.common import Known, by_number, doc_texts, ship_package, unused, with_fields
 
 FOLDS = 5
 #: Labelled documents that the space is fitted on and that vote, at most.
@@ -28,7 +28,8 @@ DIMENSIONS = 96
 NEIGHBOURS = 25
 THRESHOLD = 0.3
 BLOCK = 512
-CACHE_ENTRIES = 300_000
+#: Bytes of terms kept between batches.
+CACHE_BYTES = 32 << 20
 #: Terms that a word repeated at once counts for.
 REPEAT_TERMS = 6
 
@@ -47,19 +48,14 @@ def _shape(word: str) -> str:
     return "".join(out[:6])
 
 
-class _Terms(dict):
+def _terms_of(word: str) -> tuple[int, ...]:
     """Hashed terms of a word: the lower-cased word, its last letters, its shape and its length."""
+    low = word.lower().strip(".,;:!?")
+    terms = ("w" + low, "e" + low[-3:], "s" + _shape(word), f"n{min(len(word), 12)}")
+    return tuple(zlib.crc32(t.encode("utf-8")) % TERMS for t in terms)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        low = word.lower().strip(".,;:!?")
-        terms = ("w" + low, "e" + low[-3:], "s" + _shape(word), f"n{min(len(word), 12)}")
-        self[word] = found = tuple(zlib.crc32(t.encode("utf-8")) % TERMS for t in terms)
-        return found
 
-
-_terms = _Terms()
+_terms = Known(_terms_of, CACHE_BYTES)
 
 
 def term_counts(text: str) -> np.ndarray:
@@ -170,8 +166,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``__score`` of every whole text; a null text counts as empty."""
+    """All columns of ``docs``, and as the last one the score of every whole text; a null text counts as empty.
+
+    The score is named ``__score``, with more underscores where ``docs`` has
+    such a column.
+    """
     ship_package(docs)
+    (name,) = unused(docs, "__score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
@@ -182,10 +183,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(start, BLOCK)
                 counts = np.stack([term_counts(t.as_py() or "") for t in part.column(at)])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(m.scores(counts))], names=[*part.schema.names, "__score"]
+                    [*part.columns, pa.array(m.scores(counts))], names=[*part.schema.names, "score"]
                 )
 
-    return docs.mapInArrow(score, with_fields(docs, __score="double"))
+    rows = by_number(docs)
+    return rows.mapInArrow(score, with_fields(rows, score="double")).toDF(*docs.columns, name)
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:

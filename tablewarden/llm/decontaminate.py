@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import by_slices, doc_texts, ship_package
+from tablewarden.llm.common import by_number, by_slices, doc_texts, ship_package
 
 #: Edits allowed, as a share of an item's characters.
 EDIT_SHARE = 0.1
@@ -209,7 +209,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, all columns unchanged."""
-    at = ship_package(docs).columns.index("text")
+    at, names = ship_package(docs).columns.index("text"), docs.columns
+    docs = by_number(docs)
     for index in _passes(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -219,5 +220,5 @@ def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             keep[[h[0] for h in hits]] = False
             return batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(by_slices(clean, limit=SLICE_BYTES), docs.schema)
-    return docs
+        docs = docs.mapInArrow(by_slices(clean, text=docs.columns[at], limit=SLICE_BYTES), docs.schema)
+    return docs.toDF(*names)

@@ -10,25 +10,22 @@ from __future__ import annotations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import by_slices, ship_package, with_fields
+from tablewarden.llm.common import by_number, by_slices, ship_package, unused, with_fields
 
 LINES = 3
 BLANK = " \t\n\x0b\x0c\r"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _with_key(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     """Rows are known by ``doc_id`` and the hash of the text; rows equal in both are treated alike.
 
     A missing ``doc_id`` comes last in the order.
     """
     return ship_package(docs).withColumns(
-        {
-            "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)),
-            "__hash": F.xxhash64(F.coalesce("text", F.lit(""))),
-        }
+        {"__id": F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1)), "__hash": F.xxhash64(F.coalesce(text, F.lit("")))}
     )
 
 
@@ -58,7 +55,7 @@ def windows(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> D
             names=["__id", "__hash", "a", "b", "lines"],
         )
 
-    texts = _keyed(docs).select("__id", "__hash", F.coalesce("text", F.lit("")).alias("text"))
+    texts = _with_key(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text")).select("__id", "__hash", F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(by_slices(of), "__id long, __hash long, a long, b long, lines array<int>")
 
 
@@ -74,16 +71,19 @@ def repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = Fals
 
 
 def remove_repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool = False) -> DataFrame:
-    """All columns of ``docs``, with the repeated lines cut out of ``text``, and two counts.
-
-    ``__n_lines`` counts the lines with a visible character, ``__n_removed``
-    those removed. A null text stays null; texts of fewer than three such lines
-    stay whole, unless ``short_texts`` lets each be one window of all its lines.
-    Rows are never dropped here.
+    """All columns of ``docs``, with the repeated lines cut out of ``text``, and two counts as last columns.
+
+    The counts are of the lines with a visible character and of those removed;
+    their names are ``__n_lines`` and ``__n_removed``, with more underscores
+    where ``docs`` has such columns. A null text stays null; texts of fewer
+    than three such lines stay whole, unless ``short_texts`` lets each be one
+    window of all its lines. Rows are never dropped here, and other columns
+    are kept as they are.
     """
-    marked = _keyed(docs).join(repeated_lines(docs, lines, short_texts), ["__id", "__hash"], "left").drop("__id", "__hash")
-    fields = marked.columns
-    at, gone_at = fields.index("text"), fields.index("__gone")
+    rows = by_number(docs)
+    names, at, gone_at = rows.columns, docs.columns.index("text"), len(docs.columns)
+    keyed = _with_key(rows, F.col(names[docs.columns.index("doc_id")]), F.col(names[at]))
+    marked = keyed.join(repeated_lines(docs, lines, short_texts), ["__id", "__hash"], "left").drop("__id", "__hash")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, n_lines, n_removed = [], [], []
@@ -97,18 +97,24 @@ def remove_repeated_lines(docs: DataFrame, lines: int = LINES, short_texts: bool
             texts.append(text)
         columns = list(batch.columns)
         columns[at] = pa.array(texts, pa.string())
-        kept = [c for i, c in enumerate(columns) if i != gone_at]
-        names = [n for i, n in enumerate(fields) if i != gone_at]
         return pa.RecordBatch.from_arrays(
-            [*kept, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
-            names=[*names, "__n_lines", "__n_removed"],
+            [*columns[:gone_at], pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
+            names=[*names, "n_lines", "n_removed"],
         )
 
-    return marked.mapInArrow(by_slices(cut), with_fields(marked.drop("__gone"), __n_lines="long", __n_removed="long"))
+    out = marked.mapInArrow(by_slices(cut, text=names[at]), with_fields(rows, n_lines="long", n_removed="long"))
+    return out.toDF(*docs.columns, *unused(docs, "__n_lines", "__n_removed"))
 
 
 def line_dedup_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_removed`` and the digest of what is left of every text."""
+    """``doc_id``, ``n_lines``, ``n_removed`` and the digest of what is left of every text.
+
+    A null text counts as empty and loses nothing, and neither does a text of
+    fewer than three visible lines. Rows with one ``doc_id`` go by the hash of
+    their text; rows that repeat throughout, with or without a ``doc_id``, are
+    cut alike, since the first occurrence is one for all of them. Other
+    columns are not read. An empty table gives no rows.
+    """
     return remove_repeated_lines(docs.select("doc_id", "text")).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("__n_lines").alias("n_lines"),
