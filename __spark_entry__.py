@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token
 from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
+from tablewarden.operators.bar_states import StateStore
 from tablewarden.operators.keyed import KeyedTable, Reference
 from tablewarden.operators.session_role import SessionRole
 from tablewarden.plans import bars as B
@@ -106,6 +107,23 @@ def _layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.latest_log(querylog.read_log(spark, log_path)).select("test_tipi", "satir_sayisi")
 
 
+def _from_states(report: Callable[..., DataFrame], *args) -> Query:
+    """A report from stored states after three loads; the last one corrects days of the first two."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bars = src.bars(spark, sf_dir).drop("daily_change", "daily_range")
+        month = F.month("trade_date")
+        corrected = bars.where(F.dayofmonth("trade_date") == 15)
+        for price in ("open_price", "high_price", "low_price", "close_price"):
+            corrected = corrected.withColumn(price, (F.col(price) / 2).cast("decimal(12,4)"))
+        store = StateStore(spark, scratch_dir(spark, "bar-states"))
+        for load, some in enumerate([bars.where(month <= 6), bars.where(month > 6), corrected.where("symbol not like '%3'")]):
+            store.apply(some, load)
+        return plain(report(store.states(), *args))
+
+    return query
+
+
 def _explain_analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a yearly report on the year layout really read: rows and folders of scan, filter and aggregate."""
     table = layout.read_by_year(spark, _by_year(spark, sf_dir))
@@ -151,6 +169,9 @@ def _bar_queries() -> dict[str, Query]:
         "bars_by_year": _bars_by_year,
         "partition_inventory": _partition_inventory,
         "layout_comparison": _layout_comparison,
+        "yearly_stats_from_states": _from_states(B.yearly_stats_of_states, SYMBOLS),
+        "avg_yearly_return_from_states": _from_states(lambda s: B.mean_returns(B.yearly_returns_of_states(s))),
+        "load_summary_from_states": _from_states(B.load_summary_of_states),
         "explain_analyze": _explain_analyze,
         "timed_queries": _timed_queries,
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablewarden.functions.exact import mean, ratio, size_text, units
 from tablewarden.operators.ordered import moving_means
 from tablewarden.session import ROWS_PER_TASK
+from tablewarden.sources.layout import YEAR
 
 PEAK = "tum_zamanin_zirve_fiyati"
 SPANS = {"hareketli_ort_20g": 20, "hareketli_ort_50g": 50}
@@ -67,6 +68,23 @@ def peak_same_day(bars: DataFrame, day: date) -> DataFrame:
     return today.distinct().join(peaks, "symbol")
 
 
+def yearly_stats_of_states(states: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """``yearly_stats`` from stored states, one row each."""
+    return (
+        states.where(F.col("symbol").isin(*symbols))
+        .select(
+            "symbol",
+            F.col(YEAR).alias("yil"),
+            F.col("n_rows").alias("islem_gunu"),
+            ratio(F.col("close_units"), F.col("n_close") * 10**4, 2).alias("ort_kapanis"),
+            F.col("low").alias("yillik_dip"),
+            F.col("high").alias("yillik_zirve"),
+            F.col("volume").alias("toplam_hacim"),
+        )
+        .orderBy("symbol", "yil")
+    )
+
+
 def yearly_stats(bars: DataFrame, symbols: Sequence[str]) -> DataFrame:
     return (
         bars.where(F.col("symbol").isin(*symbols))
@@ -170,6 +188,24 @@ def top_volume(bars: DataFrame, rows: int = 10) -> DataFrame:
     )
 
 
+def _with_return(yearly: DataFrame) -> DataFrame:
+    first, last = F.col("yil_basi_fiyat"), F.col("yil_sonu_fiyat")
+    return yearly.withColumn("getiri", ratio(units(last - first, 4) * 100, units(first, 4), 8, precision=30))
+
+
+def yearly_returns_of_states(states: DataFrame) -> DataFrame:
+    """``yearly_returns`` from stored states."""
+    return _with_return(
+        states.select(
+            "symbol",
+            F.col(YEAR).alias("yil"),
+            F.col("first_close").alias("yil_basi_fiyat"),
+            F.col("last_close").alias("yil_sonu_fiyat"),
+            F.col("n_rows").alias("gun"),
+        )
+    )
+
+
 def yearly_returns(bars: DataFrame) -> DataFrame:
     """First and last close of each symbol and year and the return in percent.
 
@@ -177,17 +213,14 @@ def yearly_returns(bars: DataFrame) -> DataFrame:
     a crowded symbol is reduced in the map tasks. Of several rows of one day the
     lowest close is the day's first and the highest its last.
     """
-    first, last = F.col("yil_basi_fiyat"), F.col("yil_sonu_fiyat")
     # day and close as one long: a close has at most twelve digits
     order = F.unix_date("trade_date").cast("bigint") * 2 * 10**12 + units(F.col("close_price"), 4, "bigint")
-    return (
-        bars.groupBy("symbol", F.year("trade_date").alias("yil"))
-        .agg(
+    return _with_return(
+        bars.groupBy("symbol", F.year("trade_date").alias("yil")).agg(
             F.min_by("close_price", order).alias("yil_basi_fiyat"),
             F.max_by("close_price", order).alias("yil_sonu_fiyat"),
             F.count("*").alias("gun"),
         )
-        .withColumn("getiri", ratio(units(last - first, 4) * 100, units(first, 4), 8, precision=30))
     )
 
 
@@ -197,11 +230,15 @@ def avg_yearly_return(bars: DataFrame, years: int = 4, rows: int = 15, equal_yea
     A year weighs as many times as it has rows; ``equal_years`` weighs each
     year once.
     """
+    return mean_returns(yearly_returns(bars), years, rows, equal_years)
+
+
+def mean_returns(yearly: DataFrame, years: int = 4, rows: int = 15, equal_years: bool = False) -> DataFrame:
+    """``avg_yearly_return`` from the returns of each year."""
     weight = F.when(F.col("getiri").isNotNull(), F.lit(1) if equal_years else F.col("gun"))
     total = F.sum((F.col("getiri") * weight.cast("decimal(12,0)")).cast("decimal(38,8)"))
     return (
-        yearly_returns(bars)
-        .groupBy("symbol")
+        yearly.groupBy("symbol")
         .agg(F.count("yil").alias("yillar"), mean(total, F.sum(weight), 8, 2).alias(RETURN))
         .where(F.col("yillar") >= years)
         .select("symbol", RETURN)
@@ -222,3 +259,13 @@ def load_summary(bars: DataFrame, approximate: bool = False) -> DataFrame:
         F.min("trade_date").alias("ilk_tarih"),
         F.max("trade_date").alias("son_tarih"),
     )
+
+
+def load_summary_of_states(states: DataFrame) -> DataFrame:
+    """``load_summary`` from stored states."""
+    return states.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("toplam_kayit"),
+        F.count_distinct("symbol").alias("farkli_hisse"),
+        F.min("first_day").alias("ilk_tarih"),
+        F.max("last_day").alias("son_tarih"),
+    )
