@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import all_sql
-from tablewarden.functions.cards import card_number, card_token
+from tablewarden.functions.cards import card_number, card_token, matches, raised, token_cost
 from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
 from tablewarden.operators.bar_states import StateStore
 from tablewarden.operators.keyed import KeyedTable, Reference
@@ -193,6 +193,21 @@ def _with_tokens(guests: DataFrame, key: str) -> DataFrame:
     return guests.withColumn("kredi_karti", card_token(card_number(draw), TEST_PEPPER, salt))
 
 
+def _raised_tokens(s: SparkSession, d: str) -> DataFrame:
+    """Tokens of every guest's card made at one cost and raised to another, and what still matches."""
+    draw, salt = _test_card("musteri_id")
+    guests = src.guests(s, d).select("musteri_id", card_number(draw).alias("pan"), salt.alias("salt"))
+    # every third token is an old one without a cost
+    old = F.when(F.col("musteri_id") % 3 == 0, card_token(F.col("pan"), TEST_PEPPER, salt)).otherwise(
+        card_token(F.col("pan"), TEST_PEPPER, salt, cost=2)
+    )
+    held = guests.withColumn("eski", old).withColumn("yeni", raised(F.col("eski"), F.col("pan"), TEST_PEPPER, 4, F.col("salt")))
+    both = F.struct(*[matches(F.col(c), F.col("pan"), TEST_PEPPER).alias(c) for c in ("eski", "yeni")])
+    return held.withColumn("m", both).select(
+        "musteri_id", "eski", "yeni", token_cost(F.col("eski")).alias("eski_bedel"), (F.col("m.eski") & F.col("m.yeni")).alias("uyuyor")
+    )
+
+
 def _on_reservations(plan: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf_dir: plain(plan(src.reservations(spark, sf_dir), *args, **kwargs))
 
@@ -278,6 +293,7 @@ def _hotel_queries() -> dict[str, Query]:
             src.reservations(s, d), src.guests(s, d), src.table(s, d, "nation"), src.table(s, d, "region")
         ),
         "card_tokens": lambda s, d: _with_tokens(src.guests(s, d), "musteri_id").select("musteri_id", "kredi_karti"),
+        "raised_tokens": _raised_tokens,
         "masked_cards": lambda s, d: hotel.masked_cards(_with_tokens(src.guests(s, d), "musteri_id")),
     }
 

@@ -127,6 +127,14 @@ rights as (
 )
 """
 
+def _hashed(cost: int) -> str:
+    """The hash of a card number, taken again ``cost`` times."""
+    out = "sha256('test-pepper' || salt || pan)"
+    for _ in range(cost):
+        out = f"sha256({out} || 'test-pepper' || salt)"
+    return out
+
+
 SQL = {
     "rows_for_city_reception": _rows_for("city_reception"),
     "rows_for_resort_reception": _rows_for("resort_reception"),
@@ -213,6 +221,17 @@ select c_custkey as musteri_id, salt || '$' || sha256('test-pepper' || salt || p
 from (select c_custkey, md5(cast(c_custkey as varchar)) as salt,
              '4' || lpad(cast((c_custkey * 7919000003) % 900000000000000 + 100000000000000 as varchar), 15, '0') as pan
       from customer)
+""",
+    "raised_tokens": f"""
+with cards as (
+    select c_custkey as musteri_id, md5(cast(c_custkey as varchar)) as salt,
+           '4' || lpad(cast((c_custkey * 7919000003) % 900000000000000 + 100000000000000 as varchar), 15, '0') as pan
+    from customer join nation on c_nationkey = n_nationkey
+), old as (
+    select *, case when musteri_id % 3 = 0 then salt || '$' || {_hashed(0)} else salt || '$2$' || {_hashed(2)} end as eski from cards
+)
+select musteri_id, eski, salt || '$4$' || {_hashed(4)} as yeni, case when musteri_id % 3 = 0 then 0 else 2 end as eski_bedel, true as uyuyor
+from old
 """,
     "masked_cards": f"""
 with {GUESTS}

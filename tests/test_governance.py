@@ -1,10 +1,11 @@
+import hashlib
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tablewarden.functions.cards import card_number, card_token, masked, matches
+from tablewarden.functions.cards import card_number, card_token, masked, matches, raised, token_cost
 from tablewarden.operators import constraints as C
 from tablewarden.operators import policy as P
 from tablewarden.plans import hotel as H
@@ -167,3 +168,37 @@ def test_constraints(spark):
     assert as_rows(C.partition_range(df, "day", 2013, 2018)) == [(2012, 1), (2019, 1), (None, 2)]
     faults = C.with_faults(df, {"price": F.col("price").isNull(), "day": C.outside_years(F.col("day"), 2013, 2018)})
     assert [sorted(r.faults) for r in faults.collect()] == [[], ["price"], ["day"], ["day", "price"], ["day"], ["day"]]
+
+
+def test_tokens_with_a_cost(spark):
+    pan = F.col("pan")
+    cards = spark.range(60).withColumn("pan", card_number(F.col("id") * 991))
+    made = cards.withColumn("t", F.when(F.col("id") % 3 == 0, card_token(pan, "p")).when(F.col("id") % 3 == 1, card_token(pan, "p", cost=3)).otherwise(card_token(pan, "p", cost=9)))
+    # random salts are drawn once
+    held = spark.createDataFrame(made.collect(), made.schema)
+    assert {(r.id % 3, r.c) for r in held.select("id", token_cost(F.col("t")).alias("c")).collect()} == {(0, 0), (1, 3), (2, 9)}
+    up = held.withColumn("up", raised(F.col("t"), pan, "p", 5))
+    up = spark.createDataFrame(up.collect(), up.schema)
+    checks = up.select(
+        "id",
+        (F.col("t") != F.col("up")).alias("new"),
+        token_cost(F.col("up")).alias("c"),
+        *[matches(F.col(c), pan, "p").alias(f"ok_{c}") for c in ("t", "up")],
+        matches(F.col("up"), F.lit("4000000000000000"), "p").alias("other"),
+        matches(F.col("up"), pan, "q").alias("pepper"),
+    )
+    for r in checks.collect():
+        assert r.ok_t and r.ok_up and not r.other and not r.pepper
+        assert (r.new, r.c) == ((True, 5) if r.id % 3 < 2 else (False, 9))
+    # the hash is what the standard library gives
+    one = up.where("id = 1").first()
+    salt, cost, digest = one.up.split("$")
+    want = hashlib.sha256(f"p{salt}{one.pan}".encode()).hexdigest()
+    for _ in range(int(cost)):
+        want = hashlib.sha256(f"{want}p{salt}".encode()).hexdigest()
+    assert digest == want and "BatchEvalPython" not in up._jdf.queryExecution().toString()
+    odd = spark.createDataFrame([(None,), ("x",), ("a$b$c",), ("a$1$b$c",), ("",)], "t string")
+    assert [r.m for r in odd.select(matches(F.col("t"), F.lit("4"), "p").alias("m")).collect()] == [None, False, False, False, False]
+    # a token that the number does not match stays, whatever its cost
+    kept = held.limit(3).select("t", raised(F.col("t"), F.lit("4999"), "p", 50).alias("u")).collect()
+    assert all(r.t == r.u for r in kept)
