@@ -28,7 +28,7 @@ from tablewarden.plans import bars as B
 from tablewarden.plans import hotel, logs
 from tablewarden.schemas import BARS, BOOKING_COLUMNS, GRANTS, POLICIES, RESERVATIONS, Grant, Policy
 from tablewarden.session import scratch_dir
-from tablewarden.sources import bars_csv, bookings, layout, loads, querylog
+from tablewarden.sources import bars_csv, bookings, clustered, layout, loads, querylog
 from tablewarden.sources import testtables as src
 
 try:  # the text operators are a part that may be left out
@@ -136,6 +136,23 @@ def _explain_analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.where(shown).select("operator", "rows_out", "folders_read", only_files.alias("has_files"))
 
 
+def _clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars clustered by symbol and day: rows of filters on either column, and whether they spared files."""
+    path = scratch_dir(spark, "bars-clustered")
+    clustered.write(src.bars(spark, sf_dir), path, ["symbol", "trade_date"], files=64)
+    symbol, days = {"symbol": (SYMBOL, SYMBOL)}, {"trade_date": (date(1997, 3, 1), date(1997, 6, 30))}
+    out = []
+    for name, ranges in (("symbol", symbol), ("days", days), ("both", {**symbol, **days}), ("all", {})):
+        steps = profile.profile(clustered.read(spark, path, ranges).select("close_price"))
+        # at most half of the files for one column, a quarter for both
+        scan = steps.where(F.col("operator") == "Scan").select(
+            F.lit(name).alias("filtre"), (F.col("files_read") * F.lit({"both": 4, "all": 1}.get(name, 2)) <= 64).alias("few_files")
+        )
+        rows = steps.agg(F.min_by("rows_out", F.when(F.col("rows_out").isNotNull(), F.col("id"))).alias("satir_sayisi"))
+        out.append(scan.join(rows))
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])
+
+
 def _timed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two reports run whole under a clock, and what the log says of their rows."""
     bars, log_path = src.bars(spark, sf_dir), scratch_dir(spark, "query-log")
@@ -174,6 +191,7 @@ def _bar_queries() -> dict[str, Query]:
         "load_summary_from_states": _from_states(B.load_summary_of_states),
         "explain_analyze": _explain_analyze,
         "timed_queries": _timed_queries,
+        "clustered_reads": _clustered_reads,
     }
 
 

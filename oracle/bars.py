@@ -181,6 +181,14 @@ with {BARS}, scanned as (select * from bars where year(trade_date) in (1996, 199
 select 'Scan' as operator, count(*) as rows_out, count(distinct year(trade_date)) as folders_read, true as has_files from scanned
 union all select 'Filter', count(*), null, null from picked
 union all select 'HashAggregate', count(distinct symbol), null, null from picked
+""",
+    "clustered_reads": f"""
+with {BARS}, c as (
+    select symbol = 'Brand#13' as s, trade_date between date '1997-03-01' and date '1997-06-30' as d from bars
+)
+select unnest(['symbol', 'days', 'both', 'all']) as filtre, true as few_files,
+       unnest([count_if(s), count_if(d), count_if(s and d), count(*)]) as satir_sayisi
+from c
 """,
     "timed_queries": f"""
 with {BARS}
