@@ -31,6 +31,9 @@ from tablewarden.session import scratch_dir
 from tablewarden.sources import bars_csv, bookings, clustered, layout, loads, querylog
 from tablewarden.sources import testtables as src
 
+from tablewarden.streaming import bars_stream
+from tablewarden.streaming.price_stream import CHANGE_SCHEMA, PriceStore, guard_stream
+
 try:  # the text operators are a part that may be left out
     from tablewarden.llm import queries as text_queries
 except ImportError as error:
@@ -239,6 +242,41 @@ def _decisions(s: SparkSession, d: str, require_grant: bool) -> DataFrame:
     return guard.decide(src.changes(s, d), src.reservations(s, d).select("rezervasyon_id", "hotel", "adr"))
 
 
+def _streamed_changes(s: SparkSession, d: str) -> PriceStore:
+    """All price changes through the stream, a part of them with each start of it."""
+    changes = src.changes(s, d)
+    folder = scratch_dir(s, "price-stream")
+    store = PriceStore(s, f"{folder}/store")
+    store.start(src.reservations(s, d).select("rezervasyon_id", "hotel", "adr"))
+    last = changes.agg(F.max("seq")).first()[0] or 0
+    guard, parts = audit.PriceGuard(MANAGER_POLICIES, MANAGER_GRANTS), 3
+    for part in range(parts):
+        some = changes.where((F.col("seq") > last * part // parts) if part else F.lit(True)).where(F.col("seq") <= last * (part + 1) // parts)
+        some.write.mode("append").parquet(f"{folder}/in")
+        stream = s.readStream.schema(CHANGE_SCHEMA).parquet(f"{folder}/in")
+        # stops when all files are read; the second start finds the state of the first
+        guard_stream(stream, store, guard, f"{folder}/check", compact_every=2).awaitTermination()
+    return store
+
+
+def _streamed_bars(s: SparkSession, d: str) -> DataFrame:
+    """All bars as files that arrive in a directory in two parts; days without a partition are refused."""
+    folder = scratch_dir(s, "bar-stream")
+    lines = src.bar_lines(s, d)
+    for part in range(2):
+        some = lines.where(F.month(F.substring("line", 1, 10).cast("date")) % 2 == part)
+        name = F.col("line").alias(",".join(BARS.fieldNames()))
+        some.select(name).write.mode("append").options(header=True, sep="\u0001", quote="\u0000", escapeQuotes=False).csv(f"{folder}/in")
+        rows = bars_stream.read_stream(s, f"{folder}/in", (1993, 1997))
+        for query in bars_stream.start(rows, f"{folder}/bars", f"{folder}/rejects", f"{folder}/check"):
+            query.awaitTermination()
+    good = bars_stream.streamed_bars(s, f"{folder}/bars").select(*BAR_COLUMNS, "daily_change", F.lit(None).cast("string").alias("reason"))
+    bad = s.read.parquet(f"{folder}/rejects")
+    day, symbol = (F.split("raw", ",")[i] for i in (0, 6))
+    none = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in (*BAR_COLUMNS[2:], "daily_change")]
+    return plain(good.unionByName(bad.select(symbol.alias("symbol"), day.cast("date").alias("trade_date"), *none, "reason")))
+
+
 def _price_after(s: SparkSession, d: str) -> DataFrame:
     guard = audit.PriceGuard(MANAGER_POLICIES, MANAGER_GRANTS)
     return guard.prices_after(src.changes(s, d), src.reservations(s, d).select("rezervasyon_id", "hotel", "adr"))
@@ -299,6 +337,9 @@ def _hotel_queries() -> dict[str, Query]:
         "price_decisions": lambda s, d: plain(_decisions(s, d, False)),
         "price_decisions_granted": lambda s, d: plain(_decisions(s, d, True)),
         "price_after": lambda s, d: plain(_price_after(s, d)),
+        "stream_price_audit": lambda s, d: plain(_streamed_changes(s, d).audit().drop("batch")),
+        "stream_price_after": lambda s, d: plain(_streamed_changes(s, d).prices()),
+        "stream_bars": _streamed_bars,
         "audit_report": lambda s, d: plain(audit.audit_report(audit.audit_log(_decisions(s, d, False)))),
         "tenant_overview": _on_reservations(hotel.tenant_overview),
         "tenant_counts": _on_reservations(hotel.tenant_counts),

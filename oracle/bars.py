@@ -181,6 +181,14 @@ with {BARS}, scanned as (select * from bars where year(trade_date) in (1996, 199
 select 'Scan' as operator, count(*) as rows_out, count(distinct year(trade_date)) as folders_read, true as has_files from scanned
 union all select 'Filter', count(*), null, null from picked
 union all select 'HashAggregate', count(distinct symbol), null, null from picked
+""",
+    "stream_bars": f"""
+with {BARS}
+select symbol, {day("trade_date")} as trade_date, {PRICES}, volume, {_dbl("daily_change")}, null as reason
+from bars where year(trade_date) between 1993 and 1997
+union all
+select symbol, {day("trade_date")}, null, null, null, null, null, null, 'trade_date: no partition'
+from bars where year(trade_date) not between 1993 and 1997
 """,
     "clustered_reads": f"""
 with {BARS}, c as (

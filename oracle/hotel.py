@@ -243,3 +243,5 @@ from (select *, md5(cast(musteri_id as varchar)) as salt,
 order by musteri_id limit 10
 """,
 }
+# a stream gives what one batch gives
+SQL |= {"stream_price_audit": SQL["price_audit"], "stream_price_after": SQL["price_after"]}
