@@ -14,28 +14,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trade_order(order: str, line: str, part: str, supplier: str):
-    """One decimal that orders the trades of a bar: order, line, part, then supplier.
+TRADE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
-    A key with more digits than its place has stops the query. A decimal has a
-    buffer of fixed width, so the aggregates stay hash aggregates.
+
+def trade_order(lines: DataFrame):
+    """One number that orders the trades of a bar: order, line, part, then supplier.
+
+    A pruned pass finds how many bits each of them has. Where all fit into one
+    long it is a long, which aggregates compare fastest; wider keys become a
+    decimal. Both stand in buffers of fixed width, so the aggregates stay hash
+    aggregates, and both order alike.
     """
-    whole = F.col(order).cast("decimal(14,0)").cast("decimal(38,0)")
-    for name, digits in ((line, 3), (part, 11), (supplier, 10)):
+    ends = lines.agg(*[f(c).alias(f"{name}_{c}") for c in TRADE_KEY for f, name in ((F.min, "least"), (F.max, "largest"))]).first()
+    widths = [int(ends[f"largest_{c}"] or 0).bit_length() for c in TRADE_KEY]
+    if sum(widths) < 63 and all((ends[f"least_{c}"] or 0) >= 0 for c in TRADE_KEY):
+        packed = F.lit(0).cast("bigint")
+        for name, width in zip(TRADE_KEY, widths, strict=True):
+            packed = F.shiftleft(packed, width).bitwiseOR(F.col(name).cast("bigint"))
+        return packed
+    return wide_trade_order()
+
+
+def wide_trade_order():
+    """The same as a decimal; a key with more digits than its place has stops the query."""
+    whole = F.col(TRADE_KEY[0]).cast("decimal(14,0)").cast("decimal(38,0)")
+    for name, digits in zip(TRADE_KEY[1:], (3, 11, 10), strict=True):
         step = F.lit(Decimal(10) ** digits).cast(f"decimal({digits + 1},0)")
         whole = (whole * step + F.col(name).cast(f"decimal({digits},0)")).cast("decimal(38,0)")
     return whole
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars per brand.
+    """Daily bars per brand."""
+    return bars_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
 
-    Prices become decimals after the aggregate, once per bar.
-    """
-    price = F.col("l_extendedprice")
-    order = trade_order("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+
+def bars_of(lines: DataFrame, parts: DataFrame) -> DataFrame:
+    """Prices become decimals after the aggregate, once per bar."""
+    price, order = F.col("l_extendedprice"), trade_order(lines)
+    parts = parts.select("p_partkey", "p_brand")
     out = (
         lines.join(parts, lines.l_partkey == parts.p_partkey)
         .groupBy(

@@ -1,4 +1,5 @@
-from datetime import date, timedelta
+import random
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewarden.operators.derived import with_bar_columns, with_load_time
 from tablewarden.plans import bars as B
 from tablewarden.schemas import BARS_COMMENT
-from tablewarden.sources import bars_csv, layout
+from tablewarden.sources import bars_csv, layout, testtables
 
 SCHEMA = (
     "symbol string, trade_date date, open_price decimal(12,4), high_price decimal(12,4), "
@@ -164,3 +165,21 @@ def test_repeated_days_and_wide_returns(spark):
         assert got["A"] == (Decimal("10"), Decimal("50"), Decimal("400"))
         assert got["B"][2] == Decimal("99999998999900")
         assert B.avg_yearly_return(df, years=1).count() == 2
+
+
+def test_both_orders_of_trades_agree(spark, monkeypatch):
+    rng = random.Random(4)
+    key = lambda: (rng.randint(0, 3), rng.randint(0, 2), rng.randint(0, 2), rng.randint(0, 2))
+    rows = [(*key(), float(rng.randint(1, 99)), 3.0, datetime(1996, 1, rng.randint(1, 3))) for _ in range(400)]
+    # repeated keys carry one price
+    rows = list({r[:4]: r for r in rows}.values()) * 2
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp"
+    parts = spark.createDataFrame([(i, f"B{i % 2}") for i in range(3)], "p_partkey long, p_brand string")
+    small = spark.createDataFrame(rows, schema)
+    assert dict(small.select(testtables.trade_order(small).alias("k")).dtypes)["k"] == "bigint"
+    wide = small.withColumn("l_partkey", F.col("l_partkey") + 10**10).withColumn("l_orderkey", F.col("l_orderkey") + 10**13)
+    assert dict(wide.select(testtables.trade_order(wide).alias("k")).dtypes)["k"] == "decimal(38,0)"
+    wide_parts = parts.withColumn("p_partkey", F.col("p_partkey") + 10**10)
+    got = [sorted(map(str, testtables.bars_of(*x).collect())) for x in ((small, parts), (wide, wide_parts))]
+    assert got[0] == got[1] and len(got[0]) > 4
+    assert testtables.bars_of(small.limit(0), parts).count() == 0
