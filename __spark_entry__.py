@@ -31,7 +31,7 @@ from tablewarden.session import scratch_dir
 from tablewarden.sources import bars_csv, bookings, clustered, layout, loads, querylog
 from tablewarden.sources import testtables as src
 
-from tablewarden.streaming import bars_stream
+from tablewarden.streaming import bars_stream, means_stream
 from tablewarden.streaming.price_stream import CHANGE_SCHEMA, PriceStore, guard_stream
 
 try:  # the text operators are a part that may be left out
@@ -77,6 +77,20 @@ def _by_year(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _streamed_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving means of bars that arrive in four parts; the second brings days that lie between those of the first."""
+    folder = scratch_dir(spark, "means-stream")
+    bars = src.bars(spark, sf_dir).select("symbol", "trade_date", "close_price")
+    year, seventh = F.year("trade_date"), F.dayofmonth("trade_date") == 7
+    parts = [(year <= 1995) & ~seventh, (year <= 1995) & seventh, year.between(1996, 1997), year > 1997]
+    store = means_stream.MeansStore(spark, f"{folder}/store")
+    for part in parts:
+        bars.where(part).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(means_stream.ROW).parquet(f"{folder}/in")
+        means_stream.start(stream, store, f"{folder}/check").awaitTermination()
+    return plain(store.means())
+
+
 def _bars_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(layout.read_by_year(spark, _by_year(spark, sf_dir)))
 
@@ -195,6 +209,7 @@ def _bar_queries() -> dict[str, Query]:
         "explain_analyze": _explain_analyze,
         "timed_queries": _timed_queries,
         "clustered_reads": _clustered_reads,
+        "stream_means": _streamed_means,
     }
 
 

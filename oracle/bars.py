@@ -214,3 +214,5 @@ _HALVED = ", ".join(
 )
 CORRECTED = BARS.replace("bars as (", "first_bars as (") + f", bars as (select symbol, trade_date, {_HALVED}, volume from first_bars)"
 SQL |= {f"{key}_from_states": SQL[key].replace(BARS, CORRECTED) for key in ("yearly_stats", "avg_yearly_return", "load_summary")}
+# means of arriving bars are those of all bars
+SQL["stream_means"] = SQL["moving_averages_all"]
