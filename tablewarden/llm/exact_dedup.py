@@ -12,7 +12,7 @@ and a run with the bytes it covers is a segment.
    suffix sorting (``suffix_sort``): a place that shares ``LENGTH`` bytes with a
    neighbour in suffix order is a repeat. A key with very many different
    segments is not put into one shard: they are cut again under longer anchors,
-   and what is left is counted over the whole cluster.
+   where equal parts are counted and what is left is sorted.
 4. The repeats go back to the texts as byte ranges.
 """
 
@@ -34,7 +34,7 @@ LENGTH = 400
 ANCHOR = 200
 #: Bytes of segments that are sorted at once.
 SHARD_BYTES = 2 << 20
-#: Different segments of one key that are sorted together; beyond it they are cut again and counted.
+#: Different segments of a key from which on it is cut again under longer anchors, before it is sorted.
 SEGMENTS_OF_KEY = 200
 #: Strings of a text that are looked at together.
 BLOCK = 1 << 20
@@ -239,56 +239,31 @@ def _fine_runs(segments: DataFrame, length: int, anchor: int) -> DataFrame:
     )
 
 
-def _string_hashes(pieces: DataFrame, length: int) -> DataFrame:
-    """Every string of the pieces by itself."""
+def _cut_again(segments: DataFrame, length: int, anchors: tuple[int, ...], shard_bytes: int) -> DataFrame:
+    """Repeats among the segments of crowded keys, as ``SPAN_SCHEMA``.
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, segment, wide, lo, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                view = memoryview(data)
-                h = [xxhash.xxh3_128_intdigest(view[i : i + length]) for i in range(lo, lo + wide + 1)]
-                n = len(h)
-                columns = [np.full(n, key), np.full(n, segment), np.full(n, wide, np.int32), np.arange(n, dtype=np.int32)]
-                columns += [np.array([x >> 64 for x in h], np.uint64).view(np.int64)]
-                columns += [np.array([x & (2**64 - 1) for x in h], np.uint64).view(np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=["fine_key", "fine_segment", "fine_wide", "first", "a", "b"]
-                )
-
-    schema = "fine_key long, fine_segment long, fine_wide int, first int, a long, b long"
-    return pieces.select("fine_key", "fine_segment", "fine_wide", "lo", "bytes").mapInArrow(strings, schema)
-
-
-def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
-    """Repeats among the segments of crowded keys.
-
-    They are cut again under anchors nearly as long as the strings, which parts
-    what differs and lets equal runs fall together as rows with a count. What is
-    left is sorted like other segments; only where a key is crowded even then
-    are its strings counted one by one.
+    They are cut again under longer anchors, which parts what differs and lets
+    equal runs fall together as rows with a count. What is left is sorted like
+    other segments; where a key is crowded even then it is cut once more. Under
+    the last anchor, one byte shorter than the strings, a segment that does not
+    overlap itself is the anchor and a byte on either side, so that a key has
+    at most 2 ** 16 different ones, and it is sorted whatever their number.
     """
     whole = ["fine_key", "fine_segment", "fine_wide"]
-    runs = saved(_fine_runs(segments, length, length - max(1, length // 20)), "fine-runs")
+    runs = saved(_fine_runs(segments, length, anchors[0]), "fine-runs")
     place = F.struct("key", "segment", "lo").alias("at")
     pieces = runs.groupBy(*whole).agg(F.count("*").alias("copies"), F.min(place).alias("at"), F.max("inner").alias("inner"))
     pieces = saved(pieces, "fine-pieces")
-    single = (F.col("copies") == 1).cast("long")
-    groups = pieces.groupBy("fine_key").agg(
-        F.count("*").alias("different"), F.sum(single).alias("single"), F.max(F.expr("copies = 1 and inner")).alias("inner")
-    )
-    groups = groups.where("single > 0 and (different > 1 or inner)")
-    crowded = (F.col("different") > SEGMENTS_OF_KEY).alias("crowded")
-    groups = saved(groups.select("fine_key", crowded), "fine-groups")
+    groups = saved(_to_compare(pieces, "fine_key", len(anchors) > 1), "fine-groups")
     rest = pieces.join(groups, "fine_key").select(*whole, "at.*", "crowded")
     rest = rest.join(segments.select("key", "segment", "bytes"), ["key", "segment"])
     data = F.expr(f"substring(bytes, lo + 1, fine_wide + {length})").alias("bytes")
-    rest = saved(rest.select(*whole, "crowded", F.lit(0).alias("lo"), data), "fine-texts")
-    as_segments = rest.where("not crowded").select(*[F.col(w).alias(n) for w, n in zip(whole, PIECE, strict=True)], "bytes")
-    by_order = _sorted_shards(as_segments, length, SHARD_BYTES)
-    by_order = by_order.select(*[F.col(n).alias(w) for w, n in zip(whole, PIECE, strict=True)], "first", "last")
-    every = saved(_string_hashes(rest.where("crowded"), length), "strings")
-    often = saved(every.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "often")
-    some = every.join(often, ["a", "b"]).select(*whole, F.col("first"), F.col("first").alias("last")).unionAll(by_order)
+    named = [F.col(w).alias(n) for w, n in zip(whole, PIECE, strict=True)]
+    rest = saved(rest.select(*named, "crowded", data), "fine-texts")
+    spans = _sorted_shards(rest.where("not crowded"), length, shard_bytes)
+    if not groups.where("crowded").isEmpty():
+        spans = spans.unionByName(_cut_again(rest.where("crowded"), length, anchors[1:], shard_bytes))
+    some = spans.select(*[F.col(n).alias(w) for w, n in zip(whole, PIECE, strict=True)], "first", "last")
     full = pieces.where("copies > 1").select(*whole, F.lit(0).alias("first"), F.col("fine_wide").alias("last"))
     found = saved(full.unionAll(some), "fine-repeats")
     back = runs.join(found, whole)
@@ -297,6 +272,25 @@ def _counted_strings(segments: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _to_compare(pieces: DataFrame, key: str, may_cut: bool) -> DataFrame:
+    """Keys with something to compare, and whether they are cut again first.
+
+    That is a segment that stands once, beside others or with repeats of its own.
+    """
+    groups = pieces.groupBy(key).agg(
+        F.count("*").alias("different"),
+        F.sum((F.col("copies") == 1).cast("long")).alias("single"),
+        F.max(F.expr("copies = 1 and inner")).alias("inner"),
+    )
+    crowded = (F.col("different") > SEGMENTS_OF_KEY) if may_cut else F.lit(False)
+    return groups.where("single > 0 and (different > 1 or inner)").select(key, crowded.alias("crowded"))
+
+
+def finer_anchors(length: int, anchor: int) -> tuple[int, ...]:
+    """The anchors for crowded keys: nearly as long as the strings, then one byte shorter."""
+    return tuple(sorted({max(anchor, length - max(1, length // 20)), length - 1}))
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``doc``, ``th`` and ``gone``, the starts of repeated strings as (first, last), for each text that has some."""
     rows = _rows(docs)
@@ -308,20 +302,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     place = F.struct("doc", "th", "lo")
     segments = runs.groupBy("key", "segment", "wide").agg(F.count("*").alias("copies"), F.min(place).alias("at"), F.max("inner").alias("inner"))
     segments = saved(segments.select("key", "segment", "wide", "copies", "inner", "at.*"), "segments")
-    single = (F.col("copies") == 1).cast("long")
-    groups = segments.groupBy("key").agg(
-        F.count("*").alias("different"), F.sum(single).alias("single"), F.max(F.expr("copies = 1 and inner")).alias("inner")
-    )
-    # something to compare: a segment that stands once, beside others or with repeats of its own
-    groups = groups.where("single > 0 and (different > 1 or inner)")
-    groups = saved(groups.select("key", (F.col("different") > SEGMENTS_OF_KEY).alias("crowded")), "groups")
+    groups = saved(_to_compare(segments, "key", True), "groups")
     wanted = segments.join(groups, "key")
     texts = saved(_segment_texts(rows, wanted, length), "segment-texts")
-    sorted_spans = _sorted_shards(texts.where("not crowded"), length, shard_bytes)
-    counted = _counted_strings(texts.where("crowded"), length)
+    spans = _sorted_shards(texts.where("not crowded"), length, shard_bytes)
+    if not groups.where("crowded").isEmpty():
+        spans = spans.unionByName(_cut_again(texts.where("crowded"), length, finer_anchors(length, anchor), shard_bytes))
 
     whole = segments.where("copies > 1").select("key", "segment", "wide", F.lit(0).alias("first"), F.col("wide").alias("last"))
-    spans = saved(whole.unionAll(sorted_spans).unionAll(counted), "repeats")
+    spans = saved(whole.unionAll(spans), "repeats")
     back = runs.join(spans, ["key", "segment", "wide"])
     span = F.struct((F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last"))
     # bounded by the places of one text
@@ -345,7 +334,7 @@ def _merged(spans: Column) -> Column:
 
 
 def exact_dedup_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every whole text.
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``had_repeat`` of every whole text.
 
     A byte goes if a string of ``length`` bytes over it also starts anywhere
     else, in this text or another; strings are judged on the input. A null text
@@ -366,8 +355,14 @@ def exact_dedup_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANC
                 n_spans.append(n)
                 kept.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(v, pa.int64()) for v in (n_bytes, n_removed, n_spans)], pa.array(kept, pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [
+                    batch.column(0),
+                    *[pa.array(v, pa.int64()) for v in (n_bytes, n_removed, n_spans)],
+                    pa.array(kept, pa.string()),
+                    pa.array([n > 0 for n in n_spans], pa.bool_()),
+                ],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "had_repeat"],
             )
 
-    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, had_repeat boolean"
+    return rows.mapInArrow(cut, schema)
