@@ -2,9 +2,13 @@
 
 A rule stands for two symbols, each an id or an earlier rule. In every round
 the most frequent neighbours of a shard get rules, and their occurrences are
-replaced from the left. No rule crosses the end of a document, so a document
-is a range of symbols, and the expansion lengths of the rules give the place
-of any id without decoding what comes before it.
+replaced from the left, until no pair stands ``LEAST_COUNT`` times. After a
+count of all pairs the rounds that follow look only at the places where the
+round before has made a symbol, since no other pair can have become frequent;
+symbols are linked there, so such a round costs what it changes. When no place
+is left all pairs are counted again. No rule crosses the end of a document, so
+a document is a range of symbols, and the expansion lengths of the rules give
+the place of any id without decoding what comes before it.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 
 MAGIC = b"TWRP0001"
-ROUNDS = 3
-RULES_PER_ROUND = 3072
-LEAST_COUNT = 8
+#: Rules given out before the symbols are counted again.
+RULES_PER_ROUND = 4096
+#: A pair gets a rule if it stands so often; a rule takes sixteen bytes, a symbol two.
+LEAST_COUNT = 24
 _BUCKET_BITS = 18
 
 
@@ -53,10 +58,12 @@ def _frequent_pairs(symbols: np.ndarray, last: np.ndarray, most: int) -> tuple[n
     of each occurrence.
     """
     bucket = _buckets(symbols)
-    bucket[last[:-1]] = 0
-    counts = np.bincount(bucket, minlength=1 << _BUCKET_BITS)
-    counts[0] = 0
-    least = max(LEAST_COUNT, int(np.partition(counts, -most)[-most]))
+    # what is no pair goes into a bucket of its own
+    none = 1 << _BUCKET_BITS
+    bucket[last[:-1]] = none
+    counts = np.bincount(bucket, minlength=none + 1)
+    counts[none] = 0
+    least = LEAST_COUNT if most > none else max(LEAST_COUNT, int(np.partition(counts, -most)[-most]))
     at = np.flatnonzero((counts >= least)[bucket])
     of = bucket[at]
     found = _key(symbols, at)
@@ -66,6 +73,9 @@ def _frequent_pairs(symbols: np.ndarray, last: np.ndarray, most: int) -> tuple[n
     at, of = at[held], of[held]
     exact = np.bincount(of, minlength=1 << _BUCKET_BITS)
     first = np.flatnonzero(exact >= LEAST_COUNT)
+    if not len(first):
+        at = np.flatnonzero((counts >= LEAST_COUNT)[bucket])
+        return _counted_pairs(_key(symbols, at), at, most)
     first = first[np.lexsort((holder[first], -exact[first]))[:most]]
     rank_of = np.full(1 << _BUCKET_BITS, -1, np.int32)
     rank_of[first] = np.arange(len(first), dtype=np.int32)
@@ -74,12 +84,27 @@ def _frequent_pairs(symbols: np.ndarray, last: np.ndarray, most: int) -> tuple[n
     return holder[first], at[keep], rank[keep]
 
 
-def _replace(symbols: np.ndarray, last: np.ndarray, hit: np.ndarray, rank: np.ndarray, first_rule: int):
-    """Replaces the occurrences; where two overlap, the more frequent pair wins, then the left one."""
+def _counted_pairs(keys: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same by counting the pairs with the given keys and places."""
+    # a rough count by hash spares the sort of pairs that are surely rare
+    rough = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+    some = (np.bincount(rough, minlength=1 << _BUCKET_BITS) >= LEAST_COUNT)[rough]
+    keys, at = keys[some], at[some]
+    known, of, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    first = np.flatnonzero(counts >= LEAST_COUNT)
+    first = first[np.lexsort((known[first], -counts[first]))[:most]]
+    rank_of = np.full(len(known), -1, np.int32)
+    rank_of[first] = np.arange(len(first), dtype=np.int32)
+    rank = rank_of[of]
+    return known[first], at[rank >= 0], rank[rank >= 0]
+
+
+def _apart(after: np.ndarray, hit: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The occurrences to replace; where two overlap, the more frequent pair wins, then the left one."""
     taken = []
     while len(hit):
         n = np.arange(len(hit))
-        left = np.r_[False, np.diff(hit) == 1]
+        left = np.r_[False, after[hit[:-1]] == hit[1:]]
         lower = np.r_[False, rank[:-1] < rank[1:]] & left
         equal = np.r_[False, rank[:-1] == rank[1:]] & left
         higher = np.r_[(rank[1:] < rank[:-1]) & left[1:], False]
@@ -89,14 +114,35 @@ def _replace(symbols: np.ndarray, last: np.ndarray, hit: np.ndarray, rank: np.nd
         taken.append((hit[best], rank[best]))
         gone = best | np.r_[best[1:] & left[1:], False] | np.r_[False, best[:-1]] & left
         hit, rank = hit[~gone], rank[~gone]
-    place = np.concatenate([h for h, _ in taken])
-    out = symbols.copy()
-    out[place] = first_rule + np.concatenate([r for _, r in taken])
-    last = last.copy()
-    last[place] = last[place + 1]
-    keep = np.ones(len(out), bool)
-    keep[place + 1] = False
-    return out[keep], last[keep]
+    return np.concatenate([h for h, _ in taken]), np.concatenate([r for _, r in taken])
+
+
+def _replaced(
+    symbols: np.ndarray, last: np.ndarray, keys: np.ndarray, hit: np.ndarray, rank: np.ndarray, first_rule: int
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Symbols and ends after replacing the pairs and all that become frequent by it, and the pairs of the new rules."""
+    n = len(symbols)
+    symbols, last = symbols.copy(), last.copy()
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    alive = np.ones(n, bool)
+    rules = []
+    while len(keys):
+        place, which = _apart(after, hit, rank)
+        gone = after[place]
+        follows = after[gone]
+        symbols[place] = first_rule + which
+        last[place] = last[gone]
+        alive[gone] = False
+        after[place] = follows
+        inside = follows < n
+        before[follows[inside]] = place[inside]
+        rules.append(keys)
+        first_rule += len(keys)
+        at = np.sort(np.concatenate([place, before[place]]))
+        at = at[np.r_[True, at[1:] != at[:-1]] & (at >= 0)]
+        at = at[~last[at]]
+        keys, hit, rank = _counted_pairs(symbols[at].astype(np.uint64) << np.uint64(32) | symbols[after[at]], at, RULES_PER_ROUND)
+    return symbols[alive], last[alive], rules
 
 
 def compress(documents: list[np.ndarray], terminals: int) -> Grammar:
@@ -107,14 +153,13 @@ def compress(documents: list[np.ndarray], terminals: int) -> Grammar:
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
     empty = sizes == 0
     rules = np.empty((0, 2), np.uint32)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         keys, places, ranks = _frequent_pairs(symbols, last, RULES_PER_ROUND)
         if not len(keys):
             break
-        symbols, last = _replace(symbols, last, places, ranks, terminals + len(rules))
-        rules = np.r_[rules, np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)]
+        symbols, last, made = _replaced(symbols, last, keys, places, ranks, terminals + len(rules))
+        pairs = np.concatenate(made)
+        rules = np.r_[rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)]
     lengths = np.ones(terminals + len(rules), np.int64)
     for i, (a, b) in enumerate(rules.tolist()):
         lengths[terminals + i] = lengths[a] + lengths[b]
