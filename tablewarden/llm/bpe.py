@@ -25,7 +25,7 @@ from tablewarden.llm.common import Known, by_slices, doc_texts, vocabulary_path
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 #: Bytes of words and of fragments kept between batches.
-WORD_BYTES, FRAGMENT_BYTES = 48 << 20, 16 << 20
+WORD_BYTES, FRAGMENT_BYTES = 128 << 20, 32 << 20
 
 #: From so many symbols on a fragment is merged with a heap.
 HEAP_SYMBOLS = 48
