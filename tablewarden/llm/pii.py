@@ -1,11 +1,13 @@
 """Personal data by fixed forms, and by contexts learned from what they find.
 
-The fixed forms find emails, addresses of machines, cards and phones. A cue is
-a word with a mark behind it (``token =``, ``phone:``); a cue and the value after
-it are the edge of a graph. Values that a fixed form finds, and long
-hexadecimal keys, are the seeds. In a few rounds a cue is scored by the share
-of its values that are known, a value by the cues it stands behind; confident
-cues then give the identifiers that no fixed form covers.
+The fixed forms find emails, addresses of machines, cards and phones. A value
+behind a word with a mark (``token =``, ``phone:``) stands in three contexts:
+that word; the word before it as well; and the word behind the value as well. A
+context and a value are the edge of a graph. Values that a fixed form finds, and
+long hexadecimal keys, are the seeds. A context is confident when it has enough
+known values and they are most of its values, and makes its other values known
+in turn. Counts are whole numbers and what is known only grows, so the rounds
+end when none adds a value, and the result does not depend on the partitions.
 
 Everything is DataFrame expressions. The marks ``+`` behind a repetition only
 keep Java's matcher from recursing or going back; they change no match.
@@ -24,12 +26,16 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "id")
 
-#: A word, a mark, and the value behind it, perhaps in quotes.
-CUE = r"""(?<![\p{L}_])[\p{L}_]{2,40}+\x20{0,2}[:=\#]{1,2}+\x20{0,2}["']?+[^\s"'<>,;()\[\]|]++"""
+#: Perhaps a word, then a word, a mark, and the value behind it, perhaps in quotes.
+CUE = r"""(?<![\p{L}_])(?:[\p{L}_]{2,40}+\x20(?=[\p{L}_]{2,40}+\x20{0,2}[:=\#]))?+[\p{L}_]{2,40}+\x20{0,2}[:=\#]{1,2}+\x20{0,2}["']?+[^\s"'<>,;()\[\]|]++"""
+#: The word behind a value.
+BEHIND = r"""^["'<>,;()\[\]|.!?]{0,3}+\x20?+([\p{L}_]{2,40}+)"""
+#: Matches whose places are added up together.
+BLOCK = 128
 SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,128}$"
-ROUNDS = 3
 LEAST_SEEDS = 3
-CONFIDENT = 0.6
+#: Of ten values of a confident context, those that are known.
+CONFIDENT = 6
 LEAST_LENGTH = 6
 
 
@@ -37,24 +43,43 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Array of (text, start, end) of all matches from the left, in code points.
+def _found(text: Column, pattern: str, valid=None) -> Column:
+    """Array of (hit, start, end, behind) of all matches from the left that are valid, in code points.
 
-    The pieces between the matches give the places.
+    The pieces between the matches give the places; ``behind`` is the piece
+    that follows. Places are added up in blocks, and only valid matches are
+    gathered, so that a text of very many numbers costs no more than its size.
     """
-    pairs = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<hit:string,start:int,end:int>>").alias("out"))
+    gaps = F.split(text, pattern, -1)
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), F.slice(gaps, 2, F.size(gaps)).alias("behind"))
+    size = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0))
+    none = F.array().cast("array<struct<hit:string,start:int,end:int,behind:string>>")
+
+    def of(pairs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda b: F.slice(pairs, b * BLOCK + 1, BLOCK))
+        sizes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, p: a + size(p)))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(
+            sizes,
+            zero,
+            lambda s, n: F.struct((s["at"] + n).alias("at"), F.array_append(s["out"], s["at"]).alias("out")),
+            lambda s: s["out"],
+        )
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), starts.alias("start")), placed))
+
+    def placed(block: Column) -> Column:
+        def add(state: Column, pair: Column) -> Column:
+            begin = state["at"] + F.length(pair["gap"])
+            end = begin + F.coalesce(F.length(pair["hit"]), F.lit(0))
+            one = F.struct(pair["hit"].alias("hit"), begin.alias("start"), end.alias("end"), pair["behind"].alias("behind"))
+            keep = pair["hit"].isNotNull() if valid is None else pair["hit"].isNotNull() & valid(pair["hit"])
+            return F.struct(end.alias("at"), F.when(keep, F.array_append(state["out"], one)).otherwise(state["out"]).alias("out"))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.coalesce(F.length(pair["hit"]), F.lit(0))
-        one = F.struct(pair["hit"].alias("hit"), begin.alias("start"), end.alias("end"))
-        out = F.when(pair["hit"].isNull(), state["out"]).otherwise(F.array_append(state["out"], one))
-        return F.struct(end.alias("at"), out.alias("out"))
+        return F.aggregate(block["block"], F.struct(block["start"].alias("at"), none.alias("out")), add, lambda state: state["out"])
 
-    return F.aggregate(pairs, start, add, lambda state: state["out"])
+    return _let(pairs, of)
 
 
 def _digits(hit: Column) -> Column:
@@ -95,8 +120,7 @@ def base_spans(text: Column) -> Column:
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def of(kind: int, pattern: str, needs: str, valid=None) -> Column:
-        hits = _found(text, pattern)
-        hits = F.filter(hits, lambda x: valid(x["hit"])) if valid else hits
+        hits = _found(text, pattern, valid)
         spans = F.transform(hits, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
         return F.when(text.rlike(needs), spans).otherwise(empty)
 
@@ -110,49 +134,52 @@ def base_spans(text: Column) -> Column:
 
 
 def cued_values(text: Column) -> Column:
-    """Array of (cue, value, start, end) of all values behind a word and a mark."""
+    """Array of (cues, value, start, end) of all values behind a word and a mark, with their contexts."""
 
     def one(x: Column) -> Column:
         value = F.regexp_extract(x["hit"], r"""[:=\#]++\x20{0,2}["']?+(.*)$""", 1)
         value = F.regexp_replace(value, r"[.!?:*$%&\#]+$", "")
-        cue = F.regexp_replace(F.lower(F.regexp_extract(x["hit"], r"^[^:=\#]*+[:=\#]++", 0)), r"\x20+", " ")
+        left = F.regexp_replace(F.lower(F.regexp_extract(x["hit"], r"^[^:=\#]*+[:=\#]++", 0)), r"\x20+(?=[:=\#])", "")
+        nearest = F.regexp_extract(left, r"[\p{L}_]++[:=\#]++$", 0)
+        right = F.lower(F.regexp_extract(F.coalesce(x["behind"], F.lit("")), BEHIND, 1))
         lead = F.length(F.regexp_extract(x["hit"], r"""^[^:=\#]*+[:=\#]++\x20{0,2}["']?+""", 0))
         start = x["start"] + lead
+        cues = F.array_distinct(F.array(nearest, left, F.when(right != "", F.concat(nearest, F.lit(" _ "), right)).otherwise(nearest)))
         return F.struct(
-            cue.alias("cue"), F.lower(value).alias("value"), start.alias("start"), (start + F.length(value)).alias("end")
+            cues.alias("cues"), F.lower(value).alias("value"), start.alias("start"), (start + F.length(value)).alias("end")
         )
 
-    empty = F.array().cast("array<struct<cue:string,value:string,start:int,end:int>>")
+    empty = F.array().cast("array<struct<cues:array<string>,value:string,start:int,end:int>>")
     found = F.filter(F.transform(_found(text, CUE), one), lambda x: x["end"] > x["start"])
     return F.when(text.rlike(r"[:=\#]"), found).otherwise(empty)
 
 
-def confident_cues(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Cues of which most values are known, scored over the graph of cues and values.
+def confident_cues(values: DataFrame) -> DataFrame:
+    """Contexts of which most values are known, found over the graph of contexts and values.
 
     ``values`` has ``cue``, ``value`` and ``seed``. Values without a digit, or
-    shorter than ``LEAST_LENGTH``, never become known, but count against a cue.
+    shorter than ``LEAST_LENGTH``, never become known unless they are seeds, but
+    count against a context. A context of several words has to be further above
+    one half, as there are very many of them.
     """
+    like = (F.length("value") >= LEAST_LENGTH) & F.col("value").rlike("[0-9]")
     edges = values.groupBy("cue", "value").agg(F.max("seed").alias("seed"))
-    like = F.length("value") >= LEAST_LENGTH
-    like = like & F.col("value").rlike("[0-9]")
-    edges = saved(edges.select("cue", "value", "seed", like.alias("like")), "cues")
-    known = edges.withColumn("score", F.col("seed").cast("double"))
-    for k in range(rounds):
-        cues = known.groupBy("cue").agg(
-            F.sum("score").alias("support"), F.count("*").alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds")
-        )
-        cues = cues.select("cue", "support", (F.col("support") / F.col("n")).alias("trust"))
-        if k == rounds - 1:
-            break
-        # a value is unknown only if all its cues are wrong about it; cues with little support say nothing
-        trust = F.when(F.col("support") >= LEAST_SEEDS, F.least("trust", F.lit(0.99))).otherwise(0.0)
-        heard = edges.join(cues, "cue").groupBy("value").agg(
-            (1 - F.exp(F.sum(F.log1p(-trust)))).alias("heard")
-        )
-        score = F.when(F.col("seed"), 1.0).when(F.col("like"), F.col("heard")).otherwise(0.0)
-        known = saved(edges.join(heard, "value").select(*edges.columns, score.alias("score")), "known")
-    return cues.where((F.col("support") >= LEAST_SEEDS) & (F.col("trust") >= CONFIDENT)).select("cue")
+    # a value that is a seed anywhere is known everywhere
+    seeds = edges.groupBy("value").agg(F.max("seed").alias("known"))
+    edges = saved(edges.join(seeds, "value").select("cue", "value", "known", like.alias("like")), "cues")
+    known = -1
+    while True:
+        counts = edges.groupBy("cue").agg(F.count_if("known").alias("support"), F.count("*").alias("n"))
+        most = (F.col("support") >= LEAST_SEEDS) & (10 * F.col("support") >= CONFIDENT * F.col("n"))
+        # of many contexts of several words some are known by chance: three deviations above one half
+        lead = 2 * F.col("support") - F.col("n")
+        sure = counts.where(most & (~F.col("cue").contains(" ") | ((lead > 0) & (lead * lead >= 9 * F.col("n"))))).select("cue")
+        before, known = known, edges.where("known").count()
+        if known == before:
+            return sure
+        heard = edges.where("like and not known").join(sure, "cue", "left_semi").select("value", F.lit(True).alias("heard")).distinct()
+        met = edges.join(heard, "value", "left")
+        edges = saved(met.select("cue", "value", (F.col("known") | F.col("heard").isNotNull()).alias("known"), "like"), "known")
 
 
 def _text_of(spans: Column) -> Column:
@@ -181,8 +208,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     values = values.select(
         "doc_id", "row", "v.*", touches.alias("touches"), (starts | F.col("v.value").rlike(SECRET)).alias("seed")
     )
-    cues = saved(confident_cues(values.select("cue", "value", "seed")), "confident")
-    new = values.where(~F.col("touches") & (F.length("value") >= LEAST_LENGTH) & F.col("value").rlike("[0-9]")).join(cues, "cue")
+    by_cue = values.withColumn("cue", F.explode("cues"))
+    cues = saved(confident_cues(by_cue.select("cue", "value", "seed")), "confident")
+    wanted = ~F.col("touches") & (F.length("value") >= LEAST_LENGTH) & F.col("value").rlike("[0-9]")
+    new = by_cue.where(wanted).join(cues, "cue", "left_semi")
     span = F.struct("start", F.lit(4).alias("kind"), "end")
     # what is gathered is bounded by the text it stands in
     more = new.groupBy("doc_id", "row").agg(F.collect_set(span).alias("more"))
