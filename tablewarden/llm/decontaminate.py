@@ -150,6 +150,11 @@ class ItemIndex:
                 end[done] = low[done] + i + 1 + best
         return edits, end
 
+    def _whole_words(self, text: str, item: int, end: int) -> bool:
+        """Whether what ends here begins and ends with a word."""
+        begin = end - int(self.sizes[item])
+        return (begin == 0 or text[begin - 1] == " ") and (end == len(text) or text[end] == " ")
+
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """Row of the text, item, edits and end (in the plain text) of the best occurrence of each item."""
         if not self.texts:
@@ -167,6 +172,8 @@ class ItemIndex:
             for k, e, stop in zip(some.tolist(), edits.tolist(), end.tolist(), strict=True):
                 if e <= self.budgets[k]:
                     row = int(np.searchsorted(starts, stop - 1, side="right")) - 1
+                    if not self.budgets[k] and not self._whole_words(held[row], k, stop - int(starts[row])):
+                        continue
                     key, value = (row, int(self.ids[k])), (e, stop - int(starts[row]))
                     best[key] = min(value, best.get(key, value))
         return [(row, k, e, stop) for (row, k), (e, stop) in sorted(best.items())]
@@ -187,8 +194,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     One row for a text and an item: the occurrence with the fewest edits, then
     the first; ``end`` counts characters of the plain text. Null and empty texts
-    hold nothing; items without letters or digits are found nowhere. Repeated
-    rows give repeated results.
+    hold nothing; items without letters or digits are found nowhere. An item too
+    short for an edit, of fewer than ten characters, is found as whole words
+    only. Rows without a ``doc_id`` are searched like any other, an item without
+    an id has the id -1, and items with one id and different texts are items of
+    their own of which the best counts. Repeated rows give repeated results.
     """
     found = None
     for index in _passes(benchmark):

@@ -9,6 +9,7 @@ sequences without a pair leave the arrays. What is left is counted.
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -22,6 +23,8 @@ PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 BLANK = "▁"
 NO_RANK = np.int32(2**31 - 1)
+#: From so many characters on a pre-token is merged over linked symbols.
+LONG_WORD = 2000
 
 #: Counts of pre-tokens kept between batches; only the memory of a worker depends on it.
 CACHE_ENTRIES = 1_000_000
@@ -67,6 +70,7 @@ class PieceCounter:
         self.together = holders == 1
         self.together[list(early)] = False
         self.counts: dict[str, int] = {}
+        self.long_words: set[str] = set()
 
     @staticmethod
     def _outside(model, i: int) -> bool:
@@ -81,6 +85,72 @@ class PieceCounter:
 
     def merge(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG_WORD]
+        if not long:
+            return self._merge_together(words)
+        total = np.zeros(len(words), np.int64)
+        total[long] = [self._merge_long(words[k]) for k in long]
+        rest = np.setdiff1d(np.arange(len(words)), long)
+        total[rest] = self._merge_together([words[k] for k in rest.tolist()])
+        return total
+
+    def _merge_long(self, word: str) -> int:
+        """Tokens of one very long pre-token.
+
+        The same rounds, lowest rank first, over linked symbols: places wait
+        under the rank of their pair, and a round touches only its own.
+        """
+        get, other = self.letters.get, len(self.numbers)
+        symbols = np.fromiter((get(c, other) for c in word), np.int32, len(word))
+        extra = sum(len(word[i].encode("utf-8")) - 1 for i in np.flatnonzero(symbols == other).tolist())
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        alive = np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            at = at[(at >= 0) & (after[at] < n)]
+            ranks = self._pairs(symbols[at], symbols[after[at]])[0]
+            at, ranks = at[ranks != NO_RANK], ranks[ranks != NO_RANK]
+            by = np.argsort(ranks, kind="stable")
+            cuts = np.flatnonzero(np.diff(ranks[by])) + 1
+            for some in np.split(at[by], cuts) if len(at) else ():
+                rank = int(self._pairs(symbols[some[:1]], symbols[after[some[:1]]])[0][0])
+                if rank not in waiting:
+                    heapq.heappush(order, rank)
+                waiting.setdefault(rank, []).append(some)
+
+        wait(np.arange(n))
+        while order:
+            rank = heapq.heappop(order)
+            at = np.unique(np.concatenate(waiting.pop(rank)))
+            at = at[alive[at] & (after[at] < n)]
+            ranks, made = self._pairs(symbols[at], symbols[after[at]])
+            at, made = at[ranks == rank], made[ranks == rank]
+            if not len(at):
+                continue
+            # of neighbours in a run every second one, from the left
+            new_run = np.r_[True, after[at[:-1]] != at[1:]]
+            run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
+            chosen = (np.arange(len(at)) - run_start) % 2 == 0
+            if not self.together[rank]:
+                chosen[1:] = False
+                if len(at) > 1:
+                    heapq.heappush(order, rank)
+                    waiting[rank] = [at[1:]]
+            place = at[chosen]
+            gone = after[place]
+            symbols[place] = made[chosen]
+            alive[gone] = False
+            after[place] = follows = after[gone]
+            inside = follows < n
+            before[follows[inside]] = place[inside]
+            wait(np.unique(np.concatenate([place, before[place]])))
+        return int(self.cost[symbols[alive]].sum()) + extra
+
+    def _merge_together(self, words: list[str]) -> np.ndarray:
+        """Tokens of each pre-token, all of them side by side."""
         get, other = self.letters.get, len(self.numbers)
         sizes = np.array([len(w) for w in words], np.int64)
         flat = "".join(words)
@@ -138,8 +208,13 @@ class PieceCounter:
         if len(self.counts) > CACHE_ENTRIES:
             self.counts.clear()
         counts = self.counts
+        # words are kept whatever their text was, very long ones are not
+        for word in [w for w in self.long_words if w in counts]:
+            del counts[word]
+        self.long_words.clear()
         split = [self.pattern.findall((BLANK + t).replace(" ", BLANK)) if t else [] for t in texts]
         new = list({w for words in split for w in words if w not in counts})
+        self.long_words.update(w for w in new if len(w) > LONG_WORD)
         if new:
             counts.update(zip(new, self.merge(new).tolist(), strict=True))
         return [sum(map(counts.__getitem__, words)) for words in split]
