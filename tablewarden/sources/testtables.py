@@ -210,13 +210,18 @@ def booking_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     fields = [c.cast("string") for c in text.values()]
     line = F.when(k % 31 == 0, F.concat_ws(",", *fields[:-2])).otherwise(F.concat_ws(",", *fields))
-    orders = table(spark, sf_dir, "orders").withColumn("hotel", _hotel())
+    orders = table(spark, sf_dir, "orders")
+    tasks = spark.sparkContext.defaultParallelism
+    # one row group is one task; what is done with a line costs far more than to move it
+    few = orders.rdd.getNumPartitions() < tasks
+    orders = orders.withColumn("hotel", _hotel())
     customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return (
+    lines = (
         orders.join(customers, orders.o_custkey == customers.c_custkey)
         .join(nations, customers.c_nationkey == nations.n_nationkey)
         .select(k.alias("id"), line.alias("line"))
     )
+    return lines.repartition(tasks) if few else lines
 
 
 def bar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
