@@ -210,7 +210,10 @@ def _sorted_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFr
         if held:
             yield shard()
 
-    dealt = segments.select("key", "segment", "wide", "bytes").repartition("key").sortWithinPartitions("key")
+    # a task for each shard or so: sorting costs far more than the bytes suggest
+    size = segments.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    tasks = max(1, -(-size // shard_bytes))
+    dealt = segments.select("key", "segment", "wide", "bytes").repartition(tasks, "key").sortWithinPartitions("key")
     return dealt.mapInArrow(sort, SPAN_SCHEMA)
 
 
