@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import all_sql
 from tablewarden.functions.cards import card_number, card_token, matches, raised, token_cost
-from tablewarden.operators import audit, constraints, normalise, pairs, policy, profile, serials
+from tablewarden.operators import audit, constraints, derived, normalise, pairs, policy, profile, serials
 from tablewarden.operators.bar_states import StateStore
 from tablewarden.operators.keyed import KeyedTable, Reference
 from tablewarden.operators.session_role import SessionRole
@@ -95,6 +95,24 @@ def _bars_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(layout.read_by_year(spark, _by_year(spark, sf_dir)))
 
 
+def _replaced_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table of which one year is written again with fewer rows; the other years stay."""
+    path = _by_year(spark, sf_dir)
+    again = src.bars(spark, sf_dir).where((F.year("trade_date") == 1996) & (F.col("volume") > 50))
+    layout.write_by_year(again, path, years=(1996, 1996))
+    name = f"bars_{uuid.uuid4().hex}"
+    layout.register(spark, name, path)
+    text = f"SELECT {layout.YEAR}, symbol, count(*) AS satir_sayisi, sum(volume) AS hacim FROM {name} GROUP BY ALL"
+    return spark.sql(text)
+
+
+def _load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the time they were loaded at, and the user who did."""
+    at = datetime(2024, 1, 31, 12, 30, 15, 250000)
+    bars = derived.with_load_time(src.bars(spark, sf_dir).select("symbol", "trade_date"), at=F.lit(at))
+    return plain(bars.withColumn("username", F.lit("stocks_etl")))
+
+
 def _partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.partition_inventory(spark, _by_year(spark, sf_dir)).select(layout.YEAR, "satir_sayisi")
 
@@ -202,6 +220,8 @@ def _bar_queries() -> dict[str, Query]:
         "load_summary": _on_bars(B.load_summary),
         "bars_by_year": _bars_by_year,
         "partition_inventory": _partition_inventory,
+        "replaced_year": _replaced_year,
+        "load_times": _load_times,
         "layout_comparison": _layout_comparison,
         "yearly_stats_from_states": _from_states(B.yearly_stats_of_states, SYMBOLS),
         "avg_yearly_return_from_states": _from_states(lambda s: B.mean_returns(B.yearly_returns_of_states(s))),

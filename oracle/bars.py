@@ -168,6 +168,15 @@ select count(*) as toplam_kayit, count(distinct symbol) as farkli_hisse,
 from bars
 """,
     "bars_by_year": f"select *, cast(left(trade_date, 4) as int) as trade_year from ({_FULL})",
+    "replaced_year": f"""
+with {BARS}
+select cast(year(trade_date) as int) as trade_year, symbol, count(*) as satir_sayisi, cast(sum(volume) as bigint) as hacim
+from bars where year(trade_date) <> 1996 or volume > 50 group by all
+""",
+    "load_times": f"""
+with {BARS}
+select symbol, {day("trade_date")} as trade_date, '2024-01-31 12:30:15.250000' as created_at, 'stocks_etl' as username from bars
+""",
     "partition_inventory": f"with {BARS} select cast(year(trade_date) as int) as trade_year, count(*) as satir_sayisi from bars group by 1",
     "layout_comparison": f"""
 with {BARS}, n as (
