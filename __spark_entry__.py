@@ -496,6 +496,12 @@ def _appended_loads(s: SparkSession, d: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).groupBy("ad").agg(F.sum("n").alias("sayi"))
 
 
+def _load_outcomes(s: SparkSession, d: str) -> DataFrame:
+    """What a load of the booking files counted while it wrote them."""
+    counts = bookings.load(s, _booking_files(s, d), scratch_dir(s, "bookings"))
+    return s.createDataFrame(list(counts.items()), "sonuc string, satir_sayisi long")
+
+
 def _serial_ids(s: SparkSession, d: str) -> DataFrame:
     """Every line item as a row of a table that numbers its rows in order, without gaps."""
     order = ["trade_date", "id", "part_id", "amount"]
@@ -526,6 +532,7 @@ def _ingest_queries() -> dict[str, Query]:
         "ingest_booking_files": _ingest_booking_files,
         "ingest_bar_files": _ingest_bar_files,
         "appended_loads": _appended_loads,
+        "load_outcomes": _load_outcomes,
         "serial_ids": _serial_ids,
         "repeated_loads": _repeated_loads,
         "ingest_bars": lambda s, d: plain(bars_csv.bars_from_lines(src.bar_lines(s, d))),

@@ -76,6 +76,9 @@ SQL = {
     "appended_loads": f"""
 with {BOOKINGS}
 select unnest(['kayit', 'numara', 'eslesme']) as ad, 2 * count(*) as sayi from good
+""",
+    "load_outcomes": f"""
+with {BOOKINGS} select coalesce(reason, 'good') as sonuc, count(*) as satir_sayisi from reasoned group by 1
 """,
     "serial_ids": f"""
 with {UNCHECKED}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,11 +171,20 @@ def typed(strings: DataFrame) -> DataFrame:
     return rows.select(*kept, *columns, reason.alias("reason"))
 
 
+def possible_reasons() -> list[str]:
+    """Every reason that ``typed`` can give, in the order of the columns."""
+    kinds = {"int": ["not an integer"], "text": ["too long"], "number": ["not a number", "out of range"], "date": ["not a date"]}
+    return [f"{name}: {fault}" for name, kind in BOOKING_COLUMNS.items() for fault in kinds[_parts(kind)[0]]]
+
+
 def load(
     spark: SparkSession, path: str | list[str], out: str, mode: str = "overwrite", multi_line: bool = False
-) -> None:
+) -> dict[str, int]:
     """Read, type and write files in one pass, good and rejected rows in their own folders.
 
+    Returns the rows by outcome, ``good`` and each reason that occurred, counted
+    while they were written; nothing is read again for it.
+
     The id is given here and stored, so every later step sees the same one. An
     appended load goes on after the largest id that is stored; two loads into
     one folder must not run at the same time.
@@ -183,9 +192,13 @@ def load(
     start = next_id(spark, out) if mode == "append" else 0
     rows = with_surrogate_id(typed(read_strings(spark, path, multi_line)), start=start)
     status = F.when(F.col("reason").isNull(), GOOD).otherwise(REJECTED)
+    seen = Observation()
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in possible_reasons()]
+    rows = rows.observe(seen, F.count_if(F.col("reason").isNull()).alias(GOOD), *counts)
     writer = rows.withColumn("status", status).write.mode(mode).partitionBy("status")
     # an overwrite replaces both folders, also when one gets no rows
     writer.option("partitionOverwriteMode", "static").parquet(out)
+    return {outcome: n for outcome, n in seen.get.items() if n}
 
 
 def good(loaded: DataFrame) -> DataFrame:

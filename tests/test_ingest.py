@@ -201,3 +201,18 @@ def test_ids_go_on_over_appended_loads(spark, tmp_path):
         bookings.load(spark, str(tmp_path / "in.csv"), out, mode="append")
     assert [r.id for r in spark.read.parquet(out).orderBy("id").collect()] == sorted({r.id for r in spark.read.parquet(out).collect()})
     assert spark.read.parquet(out).select("id").distinct().count() == 6
+
+
+def test_a_load_counts_its_outcomes_while_it_writes(spark, tmp_path):
+    rows = [*BAD.values(), GOOD, GOOD, _line(hotel="H" * 51, adr="x"), _line(babies="")]
+    _write(tmp_path / "in.csv", rows)
+    out = str(tmp_path / "out")
+    counts = bookings.load(spark, str(tmp_path / "in.csv"), out)
+    loaded = spark.read.parquet(out)
+    rejects = {r.reason: r.hata_sayisi for r in bookings.reject_counts(bookings.rejected(loaded)).collect()}
+    assert counts == {"good": 2, **rejects} and set(rejects) <= set(bookings.possible_reasons())
+    assert sum(counts.values()) == loaded.count() == len(rows)
+    again = bookings.load(spark, str(tmp_path / "in.csv"), out, mode="append")
+    assert again == counts
+    _write(tmp_path / "none.csv", [])
+    assert bookings.load(spark, str(tmp_path / "none.csv"), str(tmp_path / "empty")) == {}
