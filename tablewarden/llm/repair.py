@@ -20,7 +20,7 @@ import numpy as np
 
 MAGIC = b"TWRP0001"
 #: Rules given out before the symbols are counted again.
-RULES_PER_ROUND = 4096
+RULES_PER_ROUND = 8192
 #: A pair gets a rule if it stands so often; a rule takes sixteen bytes, a symbol two.
 LEAST_COUNT = 24
 _BUCKET_BITS = 18
@@ -160,12 +160,12 @@ def compress(documents: list[np.ndarray], terminals: int) -> Grammar:
         symbols, last, made = _replaced(symbols, last, keys, places, ranks, terminals + len(rules))
         pairs = np.concatenate(made)
         rules = np.r_[rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)]
-    lengths = np.ones(terminals + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[terminals + i] = lengths[a] + lengths[b]
+    lengths: list[int] = []
+    for a, b in rules.tolist():
+        lengths.append((lengths[a - terminals] if a >= terminals else 1) + (lengths[b - terminals] if b >= terminals else 1))
     ends = np.zeros(len(sizes), np.int64)
     ends[~empty] = np.flatnonzero(last) + 1
-    return Grammar(terminals, rules, lengths[terminals:], symbols, np.maximum.accumulate(ends) if len(ends) else ends)
+    return Grammar(terminals, rules, np.array(lengths, np.int64), symbols, np.maximum.accumulate(ends) if len(ends) else ends)
 
 
 def to_bytes(g: Grammar) -> bytes:
@@ -200,12 +200,11 @@ class Reader:
 
     def __init__(self, g: Grammar):
         self.g = g
-        whole: list[np.ndarray] = []
+        whole: list[bytes] = []
+        n, pack = g.terminals, struct.Struct("<I").pack
         for a, b in g.rules.tolist():
-            left = whole[a - g.terminals] if a >= g.terminals else np.array([a], np.uint32)
-            right = whole[b - g.terminals] if b >= g.terminals else np.array([b], np.uint32)
-            whole.append(np.concatenate([left, right]))
-        self.texts = np.concatenate([*whole, np.empty(0, np.uint32)])
+            whole.append((whole[a - n] if a >= n else pack(a)) + (whole[b - n] if b >= n else pack(b)))
+        self.texts = np.frombuffer(b"".join(whole), "<u4")
         self.starts = np.r_[0, np.cumsum(g.lengths)].astype(np.int64)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:

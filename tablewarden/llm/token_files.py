@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,122 +32,59 @@ END_ID = 2
 SHARD_IDS = 2_000_000
 #: Bits of a shard's number that count within a range.
 RANGE_BITS = 24
-#: Words kept between batches, in each of two generations; only the memory of a worker depends on it.
-CACHE_ENTRIES = 600_000
 
 #: How byte-level vocabularies cut a text into words (fixed value).
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-BESIDE_BLANK = ["  ", *[p for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for p in (c + " ", " " + c)]]
-BESIDE_LINES = regex.compile(r"[\t\x0b\x0c\r\x1c-\x1f]")
-OTHER_BLANKS = regex.compile(r"[^\S\t\n\x0b\x0c\r ]")
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SHARD_SCHEMA = "shard long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
 
 
-class _Known(dict):
-    """Ids as bytes, computed when first asked for.
-
-    When full it becomes the old generation; what is asked for again moves over
-    from there, so frequent words stay known.
-    """
-
-    def __init__(self, encode):
-        super().__init__()
-        self._encode, self._old = encode, {}
-
-    def __missing__(self, key):
-        ids = self._old.get(key)
-        if ids is None:
-            ids = self._encode(key)
-        if len(self) >= CACHE_ENTRIES:
-            self._old = dict(self)
-            self.clear()
-        self[key] = ids
-        return ids
-
-
 class WordEncoder:
-    """The library's encoding, found once for each word.
+    """The ids of a text under a byte-level vocabulary.
 
-    Words are cut as the vocabulary's own rule cuts them, so that the ids of a
-    text are the ids of its words in order. Only new words go to the library.
+    Where the ids rise along the merges and every byte has one, the ids are the
+    ranks as well, and a library for such ranks gives the same ids in less
+    time, straight as bytes and without anything kept between texts.
     """
 
     def __init__(self, path: str):
+        from tiktoken import _tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
+        self.special = {t["content"]: np.array([t["id"]], "<u4") for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         if spec["normalizer"] or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["post_processor"]:
             raise ValueError("not a plain byte-level vocabulary")
-        self.merge = self._merger(spec["model"])
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.words = _Known(self._encode_word)
-        self.after_blank = _Known(self._encode_after_blank)
-
-    def _merger(self, model: dict):
-        """A function for the ids of one word's bytes.
-
-        Where ids rise along the merges they are the ranks as well, and every
-        byte has one; then a library for such ranks gives the same ids faster.
-        """
-        from tiktoken import _tiktoken
-
-        bytes_of = {letter: b for b, letter in enumerate(byte_letters())}
-        names = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
-        made = [model["vocab"][n] for n in names]
+        model = spec["model"]
+        made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         plain = {t: i for t, i in model["vocab"].items() if t not in self.special}
         singles = [i for t, i in plain.items() if len(t) == 1]
         rising = len(singles) == 256 and len(plain) == 256 + len(made) and max(singles) < min(made)
         if not (rising and all(a < b for a, b in zip(made, made[1:], strict=False))) or model.get("ignore_merges"):
             raise ValueError("the ids do not follow the merges")
+        bytes_of = {letter: b for b, letter in enumerate(byte_letters())}
         ranks = {bytes(bytes_of[c] for c in t): i for t, i in plain.items()}
-        return _tiktoken.CoreBPE(ranks, {}, r"\s+").encode_single_piece
-
-    def _encode_word(self, word: str) -> bytes:
-        return array("I", self.merge(word.encode("utf-8"))).tobytes()
-
-    def _encode_text(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, WORDS.findall(text)))
-
-    def _encode_part(self, text: str) -> bytes:
-        """Text without special strings, cut before each blank, or whole where blanks stand beside other white space.
-
-        A word takes at most the one blank before it, so a blank between two
-        visible characters always begins a new word. A lone line end between
-        visible characters is a word of its own, so a line is cut off there too.
-        """
-        if any(x in text for x in BESIDE_BLANK) or (not text.isascii() and OTHER_BLANKS.search(text)):
-            return self._encode_text(text)
-        if "\n" in text and "\n\n" not in text and not BESIDE_LINES.search(text):
-            text = text.replace("\n", " \n")
-        first, *rest = text.split(" ")
-        return self._encode_text(first) + b"".join(map(self.after_blank.__getitem__, rest))
-
-    def _encode_after_blank(self, word: str) -> bytes:
-        if word[:1] == "\n":  # cut off before a line end, where no blank stood
-            return self._encode_text(word)
-        # letters alone are one word
-        return self._encode_word(" " + word) if word.isalpha() else self._encode_text(" " + word)
+        self.core = _tiktoken.CoreBPE(ranks, {}, WORDS)
+        self.size = 1 + max([*plain.values(), *(int(i[0]) for i in self.special.values())])
+
+    def _encode_part(self, text: str) -> np.ndarray:
+        try:
+            return np.frombuffer(self.core.encode_to_tiktoken_buffer(text, set()), "<u4")
+        except ValueError:  # its matcher gives up on very long white space
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def encode(self, text: str) -> np.ndarray:
         if not any(s in text for s in self.special):
-            return np.frombuffer(self._encode_part(text), "<u4")
+            return self._encode_part(text)
         parts = self.cut.split(text)
-        return np.frombuffer(
-            b"".join([self.special[p] if k % 2 else self._encode_part(p) for k, p in enumerate(parts)]), "<u4"
-        )
+        return np.concatenate([self.special[p] if k % 2 else self._encode_part(p) for k, p in enumerate(parts)])
 
 
 @lru_cache(maxsize=4)
 def word_encoder(name: str) -> WordEncoder:
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordEncoder(vocabulary_path(name))
 
 

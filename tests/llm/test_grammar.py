@@ -64,3 +64,12 @@ def test_words_are_encoded_as_the_library_does():
     for _ in range(6000):
         text = "".join(rng.choices(bits, k=rng.randint(0, 12)))
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_very_long_words_and_white_space_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = vocabulary_path(token_files.BYTE_VOCABULARY)
+    library, own = Tokenizer.from_file(path), token_files.word_encoder(token_files.BYTE_VOCABULARY)
+    for text in (" " * 400_000, "\n" * 200_000 + "x", " " * 200_000 + "x a", "a" * 300_000, "ab " + "\t" * 100_000 + " y", "!?" * 100_000):
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
