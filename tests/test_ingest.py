@@ -216,3 +216,25 @@ def test_a_load_counts_its_outcomes_while_it_writes(spark, tmp_path):
     assert again == counts
     _write(tmp_path / "none.csv", [])
     assert bookings.load(spark, str(tmp_path / "none.csv"), str(tmp_path / "empty")) == {}
+
+
+def test_lines_are_parsed_by_compiled_steps(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("\n".join([",".join(BOOKING_COLUMNS), ",".join(GOOD.values())]) + "\n")
+    rows = bookings.typed(bookings.read_strings(spark, str(tmp_path / "in.csv")))
+    steps = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in line]
+    assert len(steps) > 4 and all("*(" in line.split("Generate")[0] for line in steps)
+
+
+def test_a_load_counts_with_one_aggregate(spark, tmp_path, monkeypatch):
+    seen = []
+    frame = type(spark.range(0))
+    observe = frame.observe
+    monkeypatch.setattr(frame, "observe", lambda self, o, *e: seen.append(len(e)) or observe(self, o, *e))
+    faults = {"adults": "x", "lead_time": "y", "adr": "z", "reservation_status_date": "2017-02-30"}
+    lines = [",".join({**GOOD, **({c: faults[c]} if c else {})}.values()) for c in (None, None, *faults, "adr")]
+    (tmp_path / "in.csv").write_text("\n".join([",".join(BOOKING_COLUMNS), *lines]) + "\n")
+    want = {"good": 2, "adults: not an integer": 1, "lead_time: not an integer": 1, "adr: not a number": 2, "reservation_status_date: not a date": 1}
+    assert bookings.load(spark, str(tmp_path / "in.csv"), str(tmp_path / "out")) == want
+    (tmp_path / "none.csv").write_text(",".join(BOOKING_COLUMNS) + "\n")
+    assert bookings.load(spark, str(tmp_path / "none.csv"), str(tmp_path / "empty")) == {}
+    assert seen == [1, 1]
