@@ -6,9 +6,10 @@
 
 The keys lie in a bucketed table of the catalog, so a batch is dealt out by the
 same hash and meets them bucket by bucket; the stored side is never shuffled.
-A batch is reduced to one row for each key before it meets them, and rows learn
-the outcome by their place, so a key that most rows of a batch have costs no
-more than another.
+A batch is reduced to one row for each key before it meets them. Only contested
+keys, which are stored already or have several rows in the batch, are looked at
+again; their rows learn the outcome from the place of the first one, so the rest
+of a batch is neither sorted nor moved.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from tablewarden.operators.ordered import settle
 BATCH, STATUS, REASONS = "batch", "status", "reasons"
 ACCEPTED, REFUSED = "accepted", "refused"
 BUCKETS = 64
-_PLACE, _FIRST, _STORED, _ORPHAN = "_place", "_first", "_stored", "_orphan"
+_PLACE, _FIRST, _WINNER, _STORED, _ROWS, _ORPHAN = "_place", "_first", "_winner", "_stored", "_rows", "_orphan"
 
 
 @dataclass(frozen=True)
@@ -122,10 +123,19 @@ class KeyedTable:
         )
 
     def new_keys(self, candidates: DataFrame, batch: int) -> DataFrame:
-        """For each key of the candidates the place of its first row, without keys of other batches."""
-        first = candidates.groupBy(*self.key).agg(F.min(_FIRST).alias(_FIRST)).repartition(self.buckets, *self.key)
-        stored = self.stored_keys().where(F.col(BATCH) != batch).select(*self.key)
-        return first.join(stored.hint("merge"), self.key, "left_anti")
+        """The keys of the candidates with their rows, and whether other batches hold them."""
+        counts = candidates.groupBy(*self.key).agg(F.count("*").alias(_ROWS)).repartition(self.buckets, *self.key)
+        stored = self.stored_keys().where(F.col(BATCH) != batch).select(*self.key, F.lit(True).alias(_STORED))
+        return counts.join(stored.hint("merge"), self.key, "left").withColumn(_STORED, F.coalesce(_STORED, F.lit(False)))
+
+    def _winners(self, candidates: DataFrame, batch: int) -> DataFrame:
+        """For each contested key the place of the row that has it; null where another batch does."""
+        contested = self.new_keys(candidates, batch).where(F.col(_STORED) | (F.col(_ROWS) > 1))
+        contested = settle(contested, f"{self.name}-contested")
+        met = candidates.join(contested.where(~F.col(_STORED)).select(*self.key), self.key, "left_semi")
+        firsts = met.groupBy(*self.key).agg(F.min(_FIRST)[_PLACE].alias(_WINNER))
+        taken = contested.where(_STORED).select(*self.key, F.lit(None).cast("long").alias(_WINNER)).distinct()
+        return settle(firsts.unionByName(taken), f"{self.name}-winners").withColumn(_STORED, F.lit(True))
 
     def check(self, rows: DataFrame, batch: int, order: Sequence[str] = ()) -> DataFrame:
         """The rows with their reasons; an empty list is a row to accept.
@@ -138,18 +148,19 @@ class KeyedTable:
         marked = with_faults(rows.select(*names), {**key_rules, **self.rules}, REASONS)
         # written once, so that every step below sees the same places
         marked = settle(marked.withColumn(_PLACE, F.monotonically_increasing_id()), f"{self.name}-batch")
+        batch_rows = marked
         for number, reference in enumerate(self.references):
             columns, flag = list(reference.columns), f"{_ORPHAN}{number}"
-            orphans = settle(reference.parent.missing(marked, columns), f"{self.name}-orphans").withColumn(flag, F.lit(True))
+            orphans = settle(reference.parent.missing(batch_rows, columns), f"{self.name}-orphans").withColumn(flag, F.lit(True))
             broken = F.when(F.col(flag), F.array(F.lit(f"{', '.join(columns)}: not in {reference.parent.name}")))
             found = F.concat(REASONS, F.coalesce(broken, F.array().cast("array<string>")))
             marked = marked.join(orphans, columns, "left").withColumn(REASONS, found).drop(flag)
-        if self.references:
-            marked = settle(marked.select(*names, REASONS, _PLACE), f"{self.name}-batch")
         candidates = marked.where(F.size(REASONS) == 0).withColumn(_FIRST, F.struct(*order, _PLACE))
-        winners = self.new_keys(candidates, batch).select(F.col(_FIRST)[_PLACE].alias(_PLACE), F.lit(True).alias(_STORED))
-        clash = F.when((F.size(REASONS) == 0) & F.col(_STORED).isNull(), F.array(F.lit(f"{', '.join(self.key)}: key exists")))
-        out = marked.join(winners, _PLACE, "left").withColumn(REASONS, F.coalesce(clash, REASONS))
+        # rows with a fault meet no key
+        free = F.size(REASONS) == 0
+        winners = self._winners(candidates, batch)
+        clash = F.when(free & F.col(_STORED) & ~F.col(_WINNER).eqNullSafe(F.col(_PLACE)), F.array(F.lit(f"{', '.join(self.key)}: key exists")))
+        out = marked.join(winners, self.key, "left").withColumn(REASONS, F.coalesce(clash, REASONS))
         return out.select(*names, REASONS)
 
     def append(self, rows: DataFrame, batch: int, order: Sequence[str] = ()) -> tuple[int, int]:

@@ -131,3 +131,21 @@ def test_days_without_a_partition_stop_the_write(spark, tmp_path):
     for day, years in (("cast(null as date)", None), ("date'2019-01-01'", (2013, 2018)), ("date'2012-12-31'", (2013, 2018))):
         with pytest.raises(Exception, match="no partition for day"):
             layout.write_by_year(rows(day), str(tmp_path / "b"), years=years)
+
+
+def test_rows_without_a_contested_key_are_not_moved(spark, tables):
+    table = tables()
+    table.append(spark.createDataFrame([(0, "x", 1, 1)], ROWS), 0)
+    rows = [(i, "x", i % 12 if i % 5 else None, i) for i in range(4000)] + [(7, "x", 1, 9000), (7, "x", 1, -1)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8000")
+    try:
+        # as many distinct keys as rows; only what stands twice or is stored is joined
+        checked = table.check(spark.createDataFrame(rows, ROWS), 1, ["v"])
+        steps = profile.run(checked).steps
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not any(s.operator in ("SortMergeJoin", "ShuffledHashJoin", "SortAggregate") for s in steps)
+    reasons = {(r.a, r.v): [x.split(":")[1] for x in r.reasons] for r in checked.collect()}
+    assert reasons[0, 0] == [" key exists"] and reasons[7, 7] == [] and reasons[7, 9000] == [" key exists"]
+    assert reasons[7, -1] == [" negative"] and reasons[11, 11][0].startswith(" not in") and len(reasons) == 4002
