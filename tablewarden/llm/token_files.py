@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm import repair
 from tablewarden.llm.bpe import byte_letters
+from tablewarden.llm.byte_words import WORDS, WordTable, word_starts
 from tablewarden.llm.common import doc_texts, vocabulary_path
 from tablewarden.session import scratch_dir
 
@@ -33,8 +34,11 @@ SHARD_IDS = 2_000_000
 #: Bits of a shard's number that count within a range.
 RANGE_BITS = 24
 
-#: How byte-level vocabularies cut a text into words (fixed value).
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Bytes of texts that are encoded at once; a longer text, or one with a longer word than that, goes to a library.
+SLICE_BYTES = 512 << 10
+LONGEST_WORD = 1 << 12
+#: Slices that go to a library whole after one with mostly new words.
+SLICES_WHOLE = 8
 
 SHARD_SCHEMA = "shard long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
 
@@ -44,7 +48,8 @@ class WordEncoder:
 
     Where the ids rise along the merges and every byte has one, the ids are the
     ranks as well, and a library for such ranks gives the same ids in less
-    time, straight as bytes and without anything kept between texts.
+    time. Texts are cut into words together and each new word is given to that
+    library; texts that can't be cut so go to it whole.
     """
 
     def __init__(self, path: str):
@@ -68,6 +73,7 @@ class WordEncoder:
         bytes_of = {letter: b for b, letter in enumerate(byte_letters())}
         ranks = {bytes(bytes_of[c] for c in t): i for t, i in plain.items()}
         self.core = _tiktoken.CoreBPE(ranks, {}, WORDS)
+        self.table, self.whole = WordTable(self.core.encode_single_piece), 0
         self.size = 1 + max([*plain.values(), *(int(i[0]) for i in self.special.values())])
 
     def _encode_part(self, text: str) -> np.ndarray:
@@ -82,6 +88,47 @@ class WordEncoder:
         parts = self.cut.split(text)
         return np.concatenate([self.special[p] if k % 2 else self._encode_part(p) for k, p in enumerate(parts)])
 
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            data = text.encode("utf-8")
+            if held and size + len(data) > SLICE_BYTES:
+                yield from self._encode_slice(held)
+                held, size = [], 0
+            held.append(data)
+            size += len(data)
+        yield from self._encode_slice(held)
+
+    def _encode_slice(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = b"".join(texts)
+        if not data:
+            return [np.empty(0, "<u4")] * len(texts)
+        if len(data) > SLICE_BYTES or any(s.encode("utf-8") in data for s in self.special):
+            if len(texts) == 1:
+                return [self.encode(data.decode("utf-8"))]
+            return [ids for t in texts for ids in self._encode_slice([t])]
+        if self.whole:
+            self.whole -= 1
+            return [self.encode(t.decode("utf-8")) for t in texts]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        starts, unknown = word_starts(np.frombuffer(data, np.uint8), (ends - sizes)[sizes > 0])
+        stops = np.r_[starts[1:], len(data)]
+        whole = {*np.searchsorted(ends, unknown, "right").tolist()}
+        whole |= {*np.searchsorted(ends, starts[stops - starts > LONGEST_WORD], "right").tolist()}
+        if whole:  # they have no word here
+            here = ~np.isin(np.searchsorted(ends, starts, "right"), [*whole])
+            starts, stops = starts[here], stops[here]
+        ids, count = self.table.ids(data, starts, stops)
+        self.whole = SLICES_WHOLE if 2 * self.table.new > len(starts) else 0
+        before = np.r_[0, np.cumsum(count, dtype=np.int64)]
+        out = np.split(ids, before[np.searchsorted(starts, ends[:-1])])
+        for k in whole:
+            out[k] = self.encode(texts[k].decode("utf-8"))
+        return out
+
 
 @lru_cache(maxsize=4)
 def word_encoder(name: str) -> WordEncoder:
@@ -119,8 +166,7 @@ def write_token_files(
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for key, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                one = encoder.encode(text)
+            for key, one in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
                 keys.append(key)
                 ids.append(np.concatenate([one, end]))
                 held += len(one) + 1
